@@ -207,16 +207,17 @@ def with_ties(found: DataFrame, rows: DataFrame, spec: FormSpec) -> DataFrame:
     return rows.drop(*[m for m in spec.measures if m not in spec.carry]).join(dates, [*spec.keys, spec.date])
 
 
-def as_of_grid(snaps: DataFrame, as_of: DataFrame, spec: FormSpec) -> DataFrame:
+def as_of_grid(snaps: DataFrame, as_of: DataFrame, spec: FormSpec, days: int | None = None) -> DataFrame:
     """Form of every entity on every as-of date of its season, for ranking.
 
     ``as_of`` has (season, as_of) rows. A season's dates form one sorted list, limited by the
     calendar; each snapshot is repeated for the dates it is valid for, from the day after it
-    up to the day of the next one.
+    up to the day of the next one. ``days`` is an upper bound of the (season, as_of) rows
+    where the caller has one; otherwise they are counted, and broadcast only if few.
     """
-    days = as_of.select(spec.season, AS_OF).distinct()
-    small = days.count() <= BROADCAST_DATES
-    lists = days.groupBy(spec.season).agg(F.sort_array(F.collect_set(AS_OF)).alias("_days"))
+    dates = as_of.select(spec.season, AS_OF).distinct()
+    small = (dates.count() if days is None else days) <= BROADCAST_DATES
+    lists = dates.groupBy(spec.season).agg(F.sort_array(F.collect_set(AS_OF)).alias("_days"))
     following = F.lead(spec.date).over(W.partitionBy(*spec.keys).orderBy(spec.date))
     valid = snaps.withColumn("_until", following).join(F.broadcast(lists) if small else lists, spec.season)
     days_valid = F.filter(
@@ -244,10 +245,17 @@ def league_ranks(grid: DataFrame, spec: FormSpec, bounded: bool = True) -> DataF
     return ranks_by_stacking(grid, keys, list(spec.entity), spec.form_columns)
 
 
-def ranked_form(df: DataFrame, as_of: DataFrame, spec: FormSpec, counts: bool = False) -> DataFrame:
-    """Form and league ranks of every entity on every given (season, as_of) date."""
-    bounded = entities_fit_window(df, spec)
-    grid = as_of_grid(snapshots(df, spec, counts), as_of, spec)
+def ranked_form(
+    df: DataFrame, as_of: DataFrame, spec: FormSpec, counts: bool = False, league: int | None = None,
+    days: int | None = None,
+) -> DataFrame:
+    """Form and league ranks of every entity on every given (season, as_of) date.
+
+    ``league`` bounds the entities of a season, ``days`` the (season, as_of) rows; what the
+    caller does not know is counted first.
+    """
+    bounded = entities_fit_window(df, spec) if league is None else league <= max_group_rows(df.sparkSession)
+    grid = as_of_grid(snapshots(df, spec, counts), as_of, spec, days)
     return league_ranks(grid, spec, bounded).select(
         *spec.keys, AS_OF, spec.date, spec.id, *spec.carry, *spec.form_columns, *spec.rank_columns,
         *([f"games_last_{n}" for n in spec.windows] if counts else []),

@@ -50,20 +50,23 @@ def join_form(games: DataFrame, form: DataFrame, side: str, prefix: str, spec: F
     return games.join(right, condition, "left").drop(prefix + AS_OF)
 
 
-def team_form_for(games: DataFrame, batting: DataFrame, spec: FormSpec = TEAM_FORM) -> DataFrame:
+def team_form_for(
+    games: DataFrame, batting: DataFrame, spec: FormSpec = TEAM_FORM, league: int | None = None, days: int | None = None
+) -> DataFrame:
     """Form with ranks of all teams on all game dates."""
-    return ranked_form(batting, as_of_dates(games, spec), spec)
+    return ranked_form(batting, as_of_dates(games, spec), spec, league=league, days=days)
 
 
 def pitcher_form_for(
-    games: DataFrame, pitching: DataFrame, spec: FormSpec = PITCHER_FORM, ranks: bool = False, ties: str = "one"
+    games: DataFrame, pitching: DataFrame, spec: FormSpec = PITCHER_FORM, ranks: bool = False, ties: str = "one",
+    days: int | None = None,
 ) -> DataFrame:
     """Form of the probable pitchers on their game dates.
 
     Ranks need every pitcher on every date and no feature uses them, so they are made on request.
     """
     if ranks:
-        found = ranked_form(pitching, as_of_dates(games, spec), spec)
+        found = ranked_form(pitching, as_of_dates(games, spec), spec, days=days)
     else:
         found = last_before(wanted_dates(games, spec), snapshots(pitching, spec), spec)
     if ties == "all":
@@ -81,14 +84,17 @@ def assemble_matchup(
     completed_only: bool = True,
     pitcher_ranks: bool = False,
     pitcher_ties: str = "one",
+    league: int | None = None,
+    days: int | None = None,
 ) -> DataFrame:
     """Games with columns ``home_*``, ``away_*``, ``home_sp_*`` and ``away_sp_*``.
 
     Form is taken strictly before the game's date: the second game of a day does not see the first.
+    ``league`` and ``days`` are upper bounds of teams per season and of game dates, where known.
     """
-    teams = team_form_for(games, team_measures(batting), team_spec)
+    teams = team_form_for(games, team_measures(batting), team_spec, league, days)
     pitchers = pitcher_form_for(
-        games, pitcher_measures(pitching, completed_only), pitcher_spec, pitcher_ranks, pitcher_ties
+        games, pitcher_measures(pitching, completed_only), pitcher_spec, pitcher_ranks, pitcher_ties, days
     )
     out = games
     for side in SIDES:

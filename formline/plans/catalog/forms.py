@@ -140,6 +140,10 @@ def _pitchers(spark, sf):
     return form.pitcher_measures(star.individual_pitching(spark, sf))
 
 
+def _bounds(spark, sf):
+    return {"league": star.league_size(spark, sf), "days": star.game_days(spark, sf)}
+
+
 @form_query(
     "trailing_avg_team",
     f"SELECT team_name, season, officialdate, id, runs, batting_avg, strikeouts, walks, {TEAM_COLUMNS} FROM team_trailing",
@@ -218,7 +222,7 @@ def asof_join_strict(spark, sf):
     f"SELECT team_name, season, as_of, officialdate, id, {TEAM_COLUMNS}, {TEAM_RANKS} FROM all_ranked",
 )
 def league_rank_team(spark, sf):
-    return matchup.team_form_for(star.games(spark, sf), _teams(spark, sf))
+    return matchup.team_form_for(star.games(spark, sf), _teams(spark, sf), **_bounds(spark, sf))
 
 
 @form_query(
@@ -228,7 +232,8 @@ def league_rank_team(spark, sf):
 def league_rank_pitcher(spark, sf):
     pitchers = _pitchers(spark, sf)
     months = pitchers.select("season", F.trunc("officialdate", "month").alias("as_of"))
-    return form.ranked_form(pitchers, months, PITCHER_FORM)
+    league = star.table(spark, sf, "supplier").count()
+    return form.ranked_form(pitchers, months, PITCHER_FORM, league=league)
 
 
 @form_query(
@@ -282,13 +287,14 @@ def join_left_pitcher(spark, sf):
 @form_query("assemble_matchup", _matchup_sql("games", "all_ranked"))
 def assemble_matchup(spark, sf):
     return matchup.assemble_matchup(
-        star.games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf)
+        star.games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf), **_bounds(spark, sf)
     )
 
 
 def final_matchup(spark, sf):
     return matchup.assemble_matchup(
-        star.final_games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf)
+        star.final_games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf),
+        **_bounds(spark, sf),
     )
 
 

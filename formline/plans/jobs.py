@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +59,12 @@ def _before(df: DataFrame, first: Column, last: Column) -> DataFrame:
     return df.where(F.col("season").between(F.year(first), F.year(last)) & (F.col("officialdate") < last))
 
 
+def _season_days(begin: str, end: str) -> int:
+    """Upper bound of (season, date) pairs between two dates."""
+    first, last = date.fromisoformat(begin), date.fromisoformat(end)
+    return max(0, (last - first).days + 1) * (last.year - first.year + 1)
+
+
 def training_features(tables: Tables, begin: str, end: str, **options) -> DataFrame:
     """Final games from ``begin`` to ``end`` with the form of both sides before each game.
 
@@ -70,7 +77,8 @@ def training_features(tables: Tables, begin: str, end: str, **options) -> DataFr
         & F.col("Season").between(F.year(first), F.year(last))
     )
     return assemble_matchup(
-        games, _before(tables["team_batting"], first, last), _before(tables["individual_pitching"], first, last), **options
+        games, _before(tables["team_batting"], first, last), _before(tables["individual_pitching"], first, last),
+        **{"days": _season_days(begin, end), **options},
     )
 
 
@@ -83,21 +91,22 @@ def build_training_features(
     return rows
 
 
-def prediction_features(tables: Tables, date: str, stamp: Column | None = None, **options) -> DataFrame:
+def prediction_features(tables: Tables, day: str, stamp: Column | None = None, **options) -> DataFrame:
     """Games scheduled on a date with the form before it, tagged with the run's ``batch`` time."""
-    day = F.lit(date).cast("date")
+    day = F.lit(day).cast("date")
     games = tables["scheduled"].where(F.col("OfficialDate") == day)
     rows = assemble_matchup(
-        games, _before(tables["team_batting"], day, day), _before(tables["individual_pitching"], day, day), **options
+        games, _before(tables["team_batting"], day, day), _before(tables["individual_pitching"], day, day),
+        **{"days": 1, **options},
     )
     return batch_stamp(rows, stamp)
 
 
 def build_prediction_features(
-    spark: SparkSession, source: str, date: str, output: str | None = None, mode: str = "append",
+    spark: SparkSession, source: str, day: str, output: str | None = None, mode: str = "append",
     stamp: Column | None = None, **options,
 ) -> DataFrame:
-    rows = prediction_features(load_tables(spark, source, (*FEATURE_TABLES[1:], "scheduled")), date, stamp, **options)
+    rows = prediction_features(load_tables(spark, source, (*FEATURE_TABLES[1:], "scheduled")), day, stamp, **options)
     if output:
         sink_parquet(rows, output, mode)
     return rows

@@ -26,6 +26,16 @@ def state(status: str, final: str = "F") -> Column:
     return F.when(F.col(status) == final, "Final").when(F.col(status) == "O", "Scheduled").otherwise("In Progress")
 
 
+def league_size(spark: SparkSession, sf_dir: str) -> int:
+    """Teams there are: one per nation."""
+    return table(spark, sf_dir, "nation").count()
+
+
+def game_days(spark: SparkSession, sf_dir: str) -> int:
+    """Upper bound of game dates, from one column of the orders."""
+    return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate")).distinct().count()
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its lines counted; combined map-side."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
