@@ -1,0 +1,288 @@
+"""Game documents and odds: scans of nested JSON, flattening, prices by bookmaker, start times."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from formline.operators import flatten, odds
+from formline.operators.odds import BOOKMAKERS, EVENT_KEYS
+from formline.plans import jobs, star
+from formline.plans.catalog.registry import query
+from formline.schemas import BATTING_STATS, PITCHING_STATS, TABLES
+from formline.scratch import new_folder
+from formline.sources import documents, tables
+from formline.sources.csv import scan_csv_prefix
+
+_AMOUNT = "CAST(floor(o_totalprice) AS BIGINT)"
+_MODULI = {
+    "home": {"hits": 11, "atbats": 31, "runs": 7, "strikeouts": 13, "baseonballs": 5, "intentionalwalks": 2},
+    "away": {"hits": 10, "atbats": 29, "runs": 6, "strikeouts": 12, "baseonballs": 4, "intentionalwalks": 3},
+}
+_NAMES = {"home": "n_name", "away": "'NATION_' || ((n_nationkey + 1) % 25)"}
+_IDS = {"home": "CAST(n_nationkey AS BIGINT)", "away": "CAST((n_nationkey + 1) % 25 AS BIGINT)"}
+_GAME_SQL = (
+    "o_orderkey AS gamepk, CAST(o_orderkey AS VARCHAR) AS id, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS gamenumber, "
+    "CAST(year(o_orderdate) AS INTEGER) AS season, CAST(o_orderdate AS DATE) AS officialdate, 'day' AS daynight, '1:05' AS time, "
+    "'PM' AS ampm, CASE o_orderstatus WHEN 'F' THEN 'Final' ELSE 'Scheduled' END AS detailedstate"
+)
+
+
+def _stats_sql(side: str, names) -> str:
+    return ", ".join(f"CAST({_AMOUNT} % {_MODULI[side][n]} AS INTEGER) AS {n}" for n in names)
+
+
+def _team_sql(names) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {_stats_sql(s, names)}, {_IDS[s]} AS team_id, {_NAMES[s]} AS team_name, {_GAME_SQL} FROM clubs"
+        for s in ("home", "away")
+    )
+
+
+def _player_sql(names, pitchers: bool) -> str:
+    kept = "NOT (o_orderstatus = 'P' AND i = 2)" + (" AND i IN (0, 2)" if pitchers else "")
+    return " UNION ALL ".join(
+        f"SELECT {_stats_sql(s, names)}, o_custkey * 10 + i AS player_id, 'Player {s} ' || (o_custkey * 10 + i) AS player_name, "
+        f"'{s}' AS team_type, {_NAMES[s]} AS team_name, {_GAME_SQL} FROM clubs CROSS JOIN (VALUES (0), (1), (2)) p(i) WHERE {kept}"
+        for s in ("home", "away")
+    )
+
+
+def _side_sql(side: str, pitcher_known: str) -> str:
+    name = side.capitalize()
+    return (
+        f"{_IDS[side]} AS {name}TeamID, {_NAMES[side]} AS {name}TeamName, 'League' AS {name}LeagueName, "
+        f"substr({_NAMES[side]}, 1, 6) AS {name}TeamShortName, "
+        f"CASE WHEN {pitcher_known} THEN o_custkey * 10 ELSE -999 END AS {name}ProbPitcherID, "
+        f"CASE WHEN {pitcher_known} THEN 'Player home ' || (o_custkey * 10) ELSE 'unannounced' END AS {name}ProbPitcherFullName, "
+        f"CAST({_AMOUNT} % 80 AS INTEGER) AS {name}Wins, CAST({_AMOUNT} % 70 AS INTEGER) AS {name}Losses, "
+        f"CAST({_AMOUNT} % 100 AS DOUBLE) / 100 AS {name}WinningPercentage"
+    )
+
+
+DOCUMENT_CTES = {
+    "clubs": "SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey",
+    "document_games": (
+        "SELECT o_orderkey AS GamePK, CAST(o_orderkey AS VARCHAR) AS GameID, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS "
+        "GameNumber, c_mktsegment AS VenueName, n_name AS VenueCity, CAST(NULL AS VARCHAR) AS VenueState, CAST(year(o_orderdate) AS "
+        "INTEGER) AS Season, CAST(o_orderdate AS DATE) AS OfficialDate, 'day' AS DayNight, '1:05' AS Time, 'PM' AS AMPM, "
+        + _side_sql("away", "o_custkey % 3 <> 0") + ", " + _side_sql("home", "true")
+        + ", CASE o_orderstatus WHEN 'F' THEN 'Final' ELSE 'Scheduled' END AS DetailedState, "
+        f"CAST({_AMOUNT} % 7 AS INTEGER) AS HomeRuns, CAST({_AMOUNT} % 6 AS INTEGER) AS AwayRuns FROM clubs"
+    ),
+}
+
+
+@query("flatten_games", "SELECT * FROM document_games", DOCUMENT_CTES)
+def flatten_games(spark, sf):
+    return flatten.flatten_games(star.game_documents(spark, sf))
+
+
+@query("flatten_team_stats", _team_sql(BATTING_STATS), DOCUMENT_CTES)
+def flatten_team_stats(spark, sf):
+    return flatten.flatten_team_stats(star.game_documents(spark, sf), "batting")
+
+
+@query("flatten_player_stats", _player_sql(PITCHING_STATS, True), DOCUMENT_CTES)
+def flatten_player_stats(spark, sf):
+    return flatten.flatten_player_stats(star.game_documents(spark, sf), "pitching")
+
+
+@query("filter_non_empty_stats", _player_sql(BATTING_STATS, False), DOCUMENT_CTES)
+def filter_non_empty_stats(spark, sf):
+    return flatten.flatten_player_stats(star.game_documents(spark, sf), "batting")
+
+
+@query(
+    "filter_position",
+    "SELECT o_orderkey AS gamepk, 'ID' || (o_custkey * 10 + i) AS player_key FROM clubs CROSS JOIN (VALUES (0), (2)) p(i)",
+    DOCUMENT_CTES,
+)
+def filter_position(spark, sf):
+    players = star.game_documents(spark, sf).select(
+        "gamepk", F.explode("livedata.boxscore.teams.home.players").alias("player_key", "player")
+    )
+    return flatten.filter_position(players, "player.position.code", "1").select("gamepk", "player_key")
+
+
+@query("append_game_columns", f"SELECT c_mktsegment AS venue, {_GAME_SQL} FROM clubs", DOCUMENT_CTES)
+def append_game_columns(spark, sf):
+    docs = star.game_documents(spark, sf)
+    return flatten.append_game_columns(docs, F.col("gamedata.venue.name").alias("venue"))
+
+
+@query("scan_game_json", "SELECT * FROM document_games", DOCUMENT_CTES)
+def scan_game_json(spark, sf):
+    path = new_folder(spark, "games-json")
+    star.game_documents(spark, sf).write.json(path)
+    return flatten.flatten_games(documents.scan_game_json(spark, path))
+
+
+@query(
+    "bad_record_quarantine",
+    "SELECT '{\"gamepk\": ' || o_orderkey || ', \"gamedata\": [oops' AS record FROM orders WHERE o_orderstatus = 'P'",
+)
+def bad_record_quarantine(spark, sf):
+    """Orders of one status are cut off mid-document; the others stay readable."""
+    path = new_folder(spark, "quarantine")
+    broken = F.concat(F.lit('{"gamepk": '), "o_orderkey", F.lit(', "gamedata": [oops'))
+    whole = F.concat(F.lit('{"gamepk": '), "o_orderkey", F.lit("}"))
+    lines = star.table(spark, sf, "orders").select(F.when(F.col("o_orderstatus") == "P", broken).otherwise(whole).alias("value"))
+    lines.write.text(path)
+    return documents.bad_record_quarantine(spark, path)
+
+
+def _odds_rows(spark, sf):
+    return odds.unpivot_bookmakers(odds.parse_odds_event(star.odds_events(spark, sf)))
+
+
+@query(
+    "parse_odds_event",
+    "SELECT sport_key, sport_title, away_team, home_team, id, commence_time, CAST(k AS INTEGER) AS n_bookmakers FROM (SELECT 'game' AS "
+    "sport_key, 'Game' AS sport_title, c_mktsegment AS away_team, c_name AS home_team, CAST(o_orderkey AS VARCHAR) AS id, "
+    "strftime(o_orderdate, '%Y-%m-%d') || 'T' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':00:00Z' AS commence_time, 2 AS k "
+    "FROM orders JOIN customer ON o_custkey = c_custkey)",
+)
+def parse_odds_event(spark, sf):
+    """From JSON text, as stored events are."""
+    text = star.odds_events(spark, sf).select(F.to_json("data").alias("data"))
+    return odds.parse_odds_event(text).select(*odds.EVENT_FIELDS, F.size("bookmakers").alias("n_bookmakers"))
+
+
+@query("unpivot_bookmakers", "SELECT * FROM odds_rows")
+def unpivot_bookmakers(spark, sf):
+    return _odds_rows(spark, sf)
+
+
+@query("scan_odds_json", "SELECT * FROM odds_rows")
+def scan_odds_json(spark, sf):
+    """A snapshot document per order, holding one event."""
+    path = new_folder(spark, "odds-json")
+    star.odds_events(spark, sf).select(F.array("data").alias("data")).write.json(path)
+    return odds.unpivot_bookmakers(odds.parse_odds_event(documents.scan_odds_json(spark, path)))
+
+
+_LISTED = BOOKMAKERS[1:4]
+_IN_LIST = "(" + ", ".join(f"'{b}'" for b in _LISTED) + ")"
+
+
+@query("filter_in_list", f"SELECT * FROM odds_rows WHERE bookmaker_key IN {_IN_LIST}")
+def filter_in_list(spark, sf):
+    return odds.filter_in_list(_odds_rows(spark, sf), "bookmaker_key", _LISTED)
+
+
+@query("side_filter", "SELECT * FROM odds_rows WHERE outcome_name = home_team")
+def side_filter(spark, sf):
+    return odds.side_filter(_odds_rows(spark, sf), "home")
+
+
+# A book quotes several markets: the earliest quoted comes first.
+ORDER = ("bookmaker_last_update", "market_last_update")
+
+
+def _first_sql(book: str, where: str = "true") -> str:
+    return (
+        "first(outcome_price ORDER BY bookmaker_last_update, market_last_update, outcome_price) FILTER (bookmaker_key = "
+        f"'{book}' AND {where})"
+    )
+
+
+_KEYS = ", ".join(EVENT_KEYS)
+ODDS_CTES = {
+    "pivoted": f"SELECT {_KEYS}, outcome_name, " + ", ".join(f"{_first_sql(b)} AS {b}" for b in BOOKMAKERS)
+    + f" FROM odds_rows GROUP BY {_KEYS}, outcome_name",
+    "merged": f"SELECT {', '.join('a.' + k for k in EVENT_KEYS)}, "
+    + ", ".join(f"{s}.{c} AS {c}_{side}" for s, side in (("a", "away"), ("h", "home")) for c in ("outcome_name", *BOOKMAKERS))
+    + " FROM pivoted a JOIN pivoted h ON " + " AND ".join(f"a.{k} = h.{k}" for k in EVENT_KEYS)
+    + " WHERE a.outcome_name = a.away_team AND h.outcome_name = h.home_team",
+    "timed": "SELECT merged.*, (CAST(replace(commence_time, 'Z', '') AS TIMESTAMP) AT TIME ZONE 'UTC') AT TIME ZONE coalesce(tz, 'UTC') "
+    "AS local_commence_time, (CAST(replace(commence_time, 'Z', '') AS TIMESTAMP) AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS "
+    "eastern_commence_time FROM merged LEFT JOIN team_zones ON home_team = team",
+    "formatted": "SELECT *, CAST(eastern_commence_time AS DATE) AS officialDate, CAST(rank() OVER (PARTITION BY home_team, "
+    "CAST(eastern_commence_time AS DATE) ORDER BY eastern_commence_time) AS INTEGER) AS gameNumber FROM timed",
+}
+
+
+def _naive_times(df):
+    """Wall-clock times without a zone, as the comparison engine gives them."""
+    return df.withColumns({
+        c: F.col(c).cast("timestamp_ntz") for c in ("local_commence_time", "eastern_commence_time") if c in df.columns
+    })
+
+
+@query("pivot_odds_by_book", "SELECT * FROM pivoted", ODDS_CTES)
+def pivot_odds_by_book(spark, sf):
+    return odds.pivot_odds_by_book(_odds_rows(spark, sf), order=ORDER)
+
+
+@query("merge_home_away_odds", "SELECT * FROM merged", ODDS_CTES)
+def merge_home_away_odds(spark, sf):
+    return odds.merge_home_away_odds(_odds_rows(spark, sf), order=ORDER)
+
+
+@query(
+    "join_inner_using",
+    "SELECT id, commence_time, home_team, local_commence_time, eastern_commence_time FROM timed",
+    ODDS_CTES,
+)
+def join_inner_using(spark, sf):
+    """Start times per event; the columns are added in place of a self join."""
+    merged = odds.merge_home_away_odds(_odds_rows(spark, sf), order=ORDER)
+    return _naive_times(odds.localize_odds(merged, star.team_zones(spark, sf))).select(
+        "id", "commence_time", "home_team", "local_commence_time", "eastern_commence_time"
+    )
+
+
+@query(
+    "daily_game_number",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS id, c_name AS home_team, eastern_commence_time, CAST(eastern_commence_time AS DATE) AS "
+    "officialDate, CAST(rank() OVER (PARTITION BY c_name, CAST(eastern_commence_time AS DATE) ORDER BY eastern_commence_time) AS INTEGER) "
+    "AS gameNumber FROM (SELECT o_orderkey, c_name, (o_orderdate + to_hours(o_orderkey % 24)) AT TIME ZONE 'UTC' AT TIME ZONE "
+    "'America/New_York' AS eastern_commence_time FROM orders JOIN customer ON o_custkey = c_custkey)",
+)
+def daily_game_number(spark, sf):
+    instant = odds.utc_instant("data.commence_time")
+    events = star.odds_events(spark, sf).select(
+        "data.id", "data.home_team", odds.utc_to_zone(instant, odds.EASTERN).alias("eastern_commence_time")
+    )
+    return _naive_times(odds.daily_game_number(events))
+
+
+@query("format_odds", "SELECT * FROM formatted", ODDS_CTES)
+def format_odds(spark, sf):
+    path = new_folder(spark, "odds-job")
+    star.odds_events(spark, sf).select(F.array("data").alias("data")).write.json(path)
+    return _naive_times(jobs.format_odds(spark, path, zones=star.team_zones(spark, sf), order=ORDER))
+
+
+# --- the ingest and snapshot jobs ----------------------------------------------------------
+
+_PERIOD = ("1996-01-01", "1998-12-31")
+_IN_PERIOD = f"BETWEEN DATE '{_PERIOD[0]}' AND DATE '{_PERIOD[1]}'"
+
+
+def _flattened(spark, sf) -> str:
+    source, output = new_folder(spark, "landing"), new_folder(spark, "flat")
+    star.game_documents(spark, sf).write.json(source)
+    jobs.flatten(spark, source, output, *_PERIOD)
+    return output
+
+
+@query("flatten", f"SELECT * FROM document_games WHERE OfficialDate {_IN_PERIOD}", DOCUMENT_CTES)
+def flatten_job(spark, sf):
+    """Documents to CSV tables of a period, read back through the prefix scan."""
+    return scan_csv_prefix(spark, f"{_flattened(spark, sf)}/games_history", TABLES["games_history"])
+
+
+@query("snapshot_tables", f"SELECT * FROM document_games WHERE OfficialDate {_IN_PERIOD}", DOCUMENT_CTES)
+def snapshot_tables(spark, sf):
+    target = new_folder(spark, "parquet")
+    tables.snapshot_tables(spark, _flattened(spark, sf), target, ["games_history"])
+    return tables.scan_parquet(spark, f"{target}/games_history")
+
+
+@query("snapshot", f"SELECT * FROM ({_player_sql(BATTING_STATS, False)}) WHERE officialdate {_IN_PERIOD}", DOCUMENT_CTES)
+def snapshot(spark, sf):
+    """All five tables are written; the players' batting is returned."""
+    target = new_folder(spark, "parquet")
+    jobs.snapshot(spark, _flattened(spark, sf), target)
+    return tables.scan_parquet(spark, f"{target}/individual_batting")

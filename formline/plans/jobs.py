@@ -5,7 +5,7 @@ A job is one lazy plan from input to output; nothing of the data passes through
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -189,7 +189,7 @@ def predict(
 
 def format_odds(
     spark: SparkSession, snapshots: str, output: str | None = None, first: str | None = None, last: str | None = None,
-    zones: DataFrame | None = None, mode: str = "overwrite",
+    zones: DataFrame | None = None, mode: str = "overwrite", order: Sequence[str] = ("bookmaker_last_update",),
 ) -> DataFrame:
     """Odds snapshots to one row per event: prices of both sides by bookmaker, local start, game number."""
     rows = odds.unpivot_bookmakers(odds.parse_odds_event(scan_odds_json(spark, snapshots)))
@@ -197,7 +197,7 @@ def format_odds(
         rows = rows.where(F.col("commence_time") >= first)
     if last:
         rows = rows.where(F.substring("commence_time", 1, 10) <= last)
-    formatted = odds.localize_odds(odds.merge_home_away_odds(rows), zones or zone_table(spark))
+    formatted = odds.localize_odds(odds.merge_home_away_odds(rows, order=order), zones or zone_table(spark))
     if output:
         sink_parquet(formatted, f"{output.rstrip('/')}/odds_history_formatted", mode)
     return formatted
