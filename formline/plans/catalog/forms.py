@@ -31,7 +31,7 @@ def _averages(spec: FormSpec, order: str) -> str:
     )
 
 
-def _ranks(spec: FormSpec) -> str:
+def ranks_sql(spec: FormSpec) -> str:
     return ", ".join(
         f"CAST(rank() OVER (PARTITION BY as_of, season ORDER BY {c} DESC NULLS LAST) AS INTEGER) AS rank_{c}"
         for c in spec.form_columns
@@ -68,7 +68,7 @@ FORM_CTES = {
 }
 
 
-def _grid(dates: str) -> str:
+def grid_sql(dates: str) -> str:
     return (
         f"SELECT e.team_name, e.season, d.as_of, s.officialdate, s.id, {TEAM_COLUMNS} FROM {dates} d "
         "JOIN team_seasons e ON d.season = e.season ASOF JOIN team_snaps s ON e.team_name = s.team_name "
@@ -77,10 +77,10 @@ def _grid(dates: str) -> str:
 
 
 FORM_CTES |= {
-    "all_grid": _grid("all_dates"),
-    "final_grid": _grid("final_dates"),
-    "all_ranked": f"SELECT *, {_ranks(TEAM_FORM)} FROM all_grid",
-    "final_ranked": f"SELECT *, {_ranks(TEAM_FORM)} FROM final_grid",
+    "all_grid": grid_sql("all_dates"),
+    "final_grid": grid_sql("final_dates"),
+    "all_ranked": f"SELECT *, {ranks_sql(TEAM_FORM)} FROM all_grid",
+    "final_ranked": f"SELECT *, {ranks_sql(TEAM_FORM)} FROM final_grid",
     "player_grid": f"SELECT e.player_name, e.season, d.as_of, s.officialdate, s.id, s.team_name, {PITCHER_COLUMNS} FROM "
     "month_starts d JOIN player_seasons e ON d.season = e.season ASOF JOIN pitcher_snaps s ON e.player_name = s.player_name "
     "AND e.season = s.season AND d.as_of > s.officialdate",
@@ -95,7 +95,7 @@ _TEAM_OUT = ["team_name", "season", "officialdate", "id", *TEAM_FORM.form_column
 _PITCHER_OUT = ["player_name", "season", "officialdate", "id", "team_name", *PITCHER_FORM.form_columns]
 
 
-def _matchup_sql(source: str, ranked: str) -> str:
+def matchup_sql(source: str, ranked: str) -> str:
     def on(alias: str, key: str, column: str) -> str:
         return f"ON g.{key} = {alias}.{column} AND g.Season = {alias}.season AND g.OfficialDate = {alias}.as_of"
 
@@ -109,7 +109,7 @@ def _matchup_sql(source: str, ranked: str) -> str:
       LEFT JOIN pitcher_as_of ap {on('ap', 'AwayProbPitcherFullName', 'player_name')}"""
 
 
-FORM_CTES["final_matchup"] = _matchup_sql("final_games", "final_ranked")
+FORM_CTES["final_matchup"] = matchup_sql("final_games", "final_ranked")
 FORM_CTES["reporting"] = (
     "SELECT " + ", ".join(f"{f} AS {f}" for f in datasets.reporting_fields())
     + " FROM final_matchup WHERE " + " AND ".join(f"{f} IS NOT NULL" for f in datasets.reporting_fields())
@@ -227,7 +227,7 @@ def league_rank_team(spark, sf):
 
 @form_query(
     "league_rank_pitcher",
-    f"SELECT player_name, season, as_of, officialdate, id, team_name, {PITCHER_COLUMNS}, {_ranks(PITCHER_FORM)} FROM player_grid",
+    f"SELECT player_name, season, as_of, officialdate, id, team_name, {PITCHER_COLUMNS}, {ranks_sql(PITCHER_FORM)} FROM player_grid",
 )
 def league_rank_pitcher(spark, sf):
     pitchers = _pitchers(spark, sf)
@@ -284,7 +284,7 @@ def join_left_pitcher(spark, sf):
     return out.drop("Season", "OfficialDate", "HomeProbPitcherFullName", "AwayProbPitcherFullName")
 
 
-@form_query("assemble_matchup", _matchup_sql("games", "all_ranked"))
+@form_query("assemble_matchup", matchup_sql("games", "all_ranked"))
 def assemble_matchup(spark, sf):
     return matchup.assemble_matchup(
         star.games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf), **_bounds(spark, sf)

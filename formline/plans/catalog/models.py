@@ -1,0 +1,207 @@
+"""Feature jobs, model fitting, scoring and explanation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from formline.operators import datasets, model
+from formline.operators.datasets import HOME_WIN_FEATURES, LABEL
+from formline.operators.form import TEAM_FORM
+from formline.plans import jobs, star
+from formline.plans.catalog.forms import FORM_CTES, final_matchup, grid_sql, matchup_sql, ranks_sql
+from formline.plans.catalog.registry import query
+from formline.plans.star import TEST_SEASON, VALIDATION_SEASON
+from formline.scratch import new_folder
+from formline.sources.tables import scan_parquet, sink_parquet
+
+BEGIN, END = "1997-06-01", "1998-05-31"
+DAY = "1998-07-04"
+# Small fits: the procedure is what is shown.
+QUICK = model.TreeParams(depth=3, rounds=3)
+
+
+def _lake(spark, sf) -> str:
+    """The star tables stored under the names the jobs read."""
+    path = new_folder(spark, "lake")
+    games = star.games(spark, sf)
+    for name, rows in {
+        "games_history": games,
+        "scheduled": games.where("DetailedState = 'Scheduled'"),
+        "team_batting": star.team_batting(spark, sf),
+        "individual_pitching": star.individual_pitching(spark, sf),
+    }.items():
+        sink_parquet(rows, f"{path}/{name}")
+    return path
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _model_table(spark, sf):
+    """The stored home-win table that training and scoring read, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        path = new_folder(spark, "model-table")
+        sink_parquet(datasets.dataset_home_win(final_matchup(spark, sf)), path)
+        _STORED[key] = path
+    return scan_parquet(spark, _STORED[key])
+
+
+def _split(spark, sf):
+    return datasets.season_split(_model_table(spark, sf), VALIDATION_SEASON, TEST_SEASON)
+
+
+def _fitted(rows):
+    return model.train_classifier(rows.where("dataset = 'train'"), params=QUICK)
+
+
+@query(
+    "build_training_features",
+    f"SELECT * FROM final_matchup WHERE OfficialDate BETWEEN DATE '{BEGIN}' AND DATE '{END}'",
+    FORM_CTES,
+)
+def build_training_features(spark, sf):
+    return jobs.build_training_features(
+        spark, _lake(spark, sf), BEGIN, END, league=star.league_size(spark, sf)
+    )
+
+
+SCHEDULED_CTES = {
+    **FORM_CTES,
+    "scheduled": "SELECT * FROM games WHERE DetailedState = 'Scheduled'",
+    "scheduled_dates": "SELECT DISTINCT Season AS season, OfficialDate AS as_of FROM scheduled",
+    "scheduled_grid": grid_sql("scheduled_dates"),
+    "scheduled_ranked": f"SELECT *, {ranks_sql(TEAM_FORM)} FROM scheduled_grid",
+    "scheduled_matchup": matchup_sql("scheduled", "scheduled_ranked"),
+}
+SCHEDULED_CTES |= {
+    "scheduled_reporting": FORM_CTES["reporting"].replace("final_matchup", "scheduled_matchup"),
+    "scheduled_derived": FORM_CTES["derived"].replace("FROM reporting", "FROM scheduled_reporting"),
+}
+
+
+@query(
+    "build_prediction_features",
+    f"SELECT *, TIMESTAMP '1998-07-04 06:00:00' AS batch FROM scheduled_matchup WHERE OfficialDate = DATE '{DAY}'",
+    SCHEDULED_CTES,
+)
+def build_prediction_features(spark, sf):
+    stamp = F.lit(f"{DAY} 06:00:00").cast("timestamp_ntz")
+    return jobs.build_prediction_features(
+        spark, _lake(spark, sf), DAY, stamp=stamp, league=star.league_size(spark, sf)
+    )
+
+
+_DATASET = "GamePK, Season AS season, " + ", ".join(f"{c} AS {c}" for c in HOME_WIN_FEATURES)
+
+
+@query(
+    "assemble",
+    f"SELECT 'train' AS use, {_DATASET}, HomeTeamWin FROM derived UNION ALL SELECT 'predict', {_DATASET}, NULL FROM scheduled_derived",
+    SCHEDULED_CTES,
+)
+def assemble(spark, sf):
+    """Scheduled games appended by two runs; the newest batch of a game counts."""
+    scheduled = star.games(spark, sf).where("DetailedState = 'Scheduled'")
+    features = jobs.assemble_matchup(
+        scheduled, star.team_batting(spark, sf), star.individual_pitching(spark, sf),
+        league=star.league_size(spark, sf), days=star.game_days(spark, sf),
+    )
+    path = new_folder(spark, "scheduled-features")
+    for hour in ("06", "09"):
+        sink_parquet(features.withColumn("batch", F.lit(f"1998-07-04 {hour}:00:00").cast("timestamp_ntz")), path, "append")
+    train, predict = jobs.assemble(final_matchup(spark, sf), scan_parquet(spark, path))
+    return train.withColumn("use", F.lit("train")).unionByName(predict.withColumn("use", F.lit("predict")))
+
+
+@query("train_classifier")
+def train_classifier(spark, sf):
+    rows = _split(spark, sf)
+    return model.score(_fitted(rows), rows).select("GamePK", "season", LABEL, model.PREDICTION)
+
+
+@query("train_regressor")
+def train_regressor(spark, sf):
+    path = new_folder(spark, "runs-table")
+    away, _ = datasets.dataset_runs_by_side(final_matchup(spark, sf))
+    sink_parquet(away, path)
+    rows = scan_parquet(spark, path)
+    fitted = model.train_regressor(
+        rows.where(F.col("season") < VALIDATION_SEASON), datasets.runs_features("away"), "AwayRuns", QUICK
+    )
+    return model.score(fitted, rows).select("GamePK", "season", "AwayRuns", model.PREDICTION)
+
+
+@query("hyperparam_search")
+def hyperparam_search(spark, sf):
+    rows = _split(spark, sf)
+    search = model.hyperparam_search(rows, HOME_WIN_FEATURES, LABEL, trials=2, base=QUICK)
+    return model.trials_table(search, rows)
+
+
+@query("early_stopping")
+def early_stopping(spark, sf):
+    """Rounds kept when a season held out decides, out of those allowed."""
+    rows = _split(spark, sf).where("dataset in ('train', 'validation')")
+    params = model.TreeParams(depth=3, rounds=8, step=0.5)
+    fitted = model.train_classifier(rows, params=params, held_out="dataset = 'validation'")
+    return rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("row_count")).withColumns({
+        "rounds_allowed": F.lit(params.rounds), "rounds_kept": F.lit(fitted.stages[-1].getNumTrees),
+    })
+
+
+@query("score_splits")
+def score_splits(spark, sf):
+    rows = _split(spark, sf)
+    return model.score_splits(_fitted(rows), rows).select("GamePK", "season", "dataset", LABEL, model.PREDICTION)
+
+
+@query("score_games")
+def score_games(spark, sf):
+    rows = _split(spark, sf)
+    games = rows.where("dataset is null").drop("dataset")
+    return model.score_games(_fitted(rows), games).select(
+        "GamePK", "season", model.PREDICTION, "rounded", "pred_home_win"
+    )
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    rows = _split(spark, sf).where("dataset = 'train'")
+    return model.feature_importance(_fitted(rows), rows, HOME_WIN_FEATURES, LABEL)
+
+
+def _saved(spark, rows) -> str:
+    path = new_folder(spark, "model")
+    model.save_model(_fitted(rows), path)
+    return path
+
+
+@query("save_model")
+def save_model(spark, sf):
+    """A stored model replaces an older one at its path; its scores are returned."""
+    rows = _split(spark, sf)
+    path = _saved(spark, rows)
+    model.save_model(model.load_model(path), path)
+    return model.score(model.load_model(path), rows).select("GamePK", model.PREDICTION)
+
+
+@query("load_model")
+def load_model(spark, sf):
+    rows = _split(spark, sf)
+    return model.score(model.load_model(_saved(spark, rows)), rows).select("GamePK", model.PREDICTION)
+
+
+@query("train")
+def train(spark, sf):
+    """The whole procedure on two draws; the accuracy test by month is returned."""
+    done = jobs.train(_model_table(spark, sf), VALIDATION_SEASON, TEST_SEASON, trials=2, base=QUICK)
+    return done.accuracy_by_month
+
+
+@query("predict")
+def predict(spark, sf):
+    rows = _split(spark, sf)
+    path = new_folder(spark, "games-to-score")
+    sink_parquet(rows.where("dataset is null").drop("dataset"), path)
+    return jobs.predict(spark, path, _saved(spark, rows))
