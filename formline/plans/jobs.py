@@ -161,9 +161,9 @@ def train(
 
 def train_model(
     spark: SparkSession, table: str, output: str, tag: str, mode: str = "overwrite", validation: int = 2023,
-    test: int = 2024, trials: int = 100, parallelism: int = 2,
+    test: int = 2024, trials: int = 100, parallelism: int = 2, base: model.TreeParams = model.TreeParams(),
 ) -> Training:
-    done = train(scan_parquet(spark, table), validation, test, trials, parallelism=parallelism)
+    done = train(scan_parquet(spark, table), validation, test, trials, base, parallelism)
     root = f"{output.rstrip('/')}/{tag}"
     sink_parquet(done.scored, f"{root}/training_data_with_predictions", mode)
     # Results below read what was written rather than scoring again.
