@@ -18,8 +18,16 @@ ZONES = ["America/New_York", "America/Chicago", "America/Phoenix", "America/Denv
 VALIDATION_SEASON, TEST_SEASON = 1999, 2000
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan_parquet(spark, f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is looked up once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = scan_parquet(spark, path)
+    return _SCANS[key]
 
 
 def state(status: str, final: str = "F") -> Column:
