@@ -34,6 +34,8 @@ PERCENT = 75
 PLAUSIBLE = 0.55
 #: Members of a bucket that meet in one task are split into blocks of about this many.
 BLOCK = 256
+#: Small buckets are handed to Python together, about this many rows at a time.
+ROWS_PER_CALL = 2000
 
 _draw = np.random.default_rng(20210)
 _FLIP = _draw.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -166,19 +168,17 @@ def _hub_links(shared: DataFrame, sketch: DataFrame, sets: DataFrame) -> DataFra
     return pairs.where(100 * both >= PERCENT * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
-def _block_links(group: pd.DataFrame) -> pd.DataFrame:
+def _block_links(rows: dict[str, np.ndarray], at: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
     """Links between the components of two blocks of a bucket: enough of them to join what belongs together.
 
     A pair counts only in the first band whose bucket it shares, and only while its ends are not
     joined yet, so the output is smaller than the block and every further link would be between
     nodes that are joined already.
     """
-    group = group.reset_index(drop=True)
-    levels = np.frombuffer(b"".join(group["registers"]), np.int16).reshape(-1, REGISTERS)
-    bands = levels.view(np.int64)
-    band, n = int(group["band"].iloc[0]), group["n_shingles"].to_numpy()
-    label, parent = group["label"].to_list(), {}
-    hashes = [np.asarray(h).view(np.uint64) for h in group["hashes"]]
+    levels = rows["registers"][at]
+    bands, band, n = levels.view(np.int64), int(rows["band"][at[0]]), rows["n_shingles"][at]
+    label, code, parent = rows["label"][at], rows["code"][at], {}
+    hashes = rows["hashes"][at]
 
     def root(x: bytes) -> bytes:
         while parent.get(x, x) != x:
@@ -186,34 +186,39 @@ def _block_links(group: pd.DataFrame) -> pd.DataFrame:
             x = parent[x]
         return x
 
-    left = np.flatnonzero(group["left"].to_numpy())
-    right = np.flatnonzero(group["right"].to_numpy())
-    within = bool(group["within"].iloc[0])
-    codes = pd.factorize(group["label"])[0]
-    found = []
-    for i in left:
+    right = np.flatnonzero(rows["right"][at])
+    within = bool(rows["within"][at[0]])
+    for i in np.flatnonzero(rows["left"][at]):
         others = right[right > i] if within else right
-        others = others[codes[others] != codes[i]]
+        others = others[code[others] != code[i]]
         others = others[~(bands[others, :band] == bands[i, :band]).any(axis=1)]
         if not len(others):
             continue
         same = np.full(len(others), i)
         for j in others[_plausible(levels[same], levels[others], n[same], n[others])]:
             a, b = root(label[i]), root(label[j])
-            if a != b and _linked(hashes[i], hashes[j]):
+            if a != b and _linked(hashes[i].view(np.uint64), hashes[j].view(np.uint64)):
                 parent[max(a, b)] = min(a, b)
-                found.append((label[i], label[j]))
-    return pd.DataFrame(found, columns=["a", "b"])
+                yield label[i], label[j]
+
+
+def _blocks_links(group: pd.DataFrame) -> pd.DataFrame:
+    """The links of several pairs of blocks, one pair after the other."""
+    rows = {c: group[c].to_numpy() for c in group.columns}
+    rows["registers"] = np.frombuffer(b"".join(rows["registers"]), np.int16).reshape(-1, REGISTERS)
+    rows["code"] = pd.factorize(group["label"])[0]
+    pairs = group.groupby(["band", "bucket", "x", "y"], sort=False).indices.values()
+    return pd.DataFrame([link for at in pairs for link in _block_links(rows, at)], columns=["a", "b"])
 
 
 def _rest_links(shared: DataFrame, sketch: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Links between components that meet in a bucket, for members that the bucket's first one doesn't cover.
 
-    The members of the bucket's most frequent component form one side, all others the other; both
+    The first member has met all others already. The members of the bucket's most frequent component form one side, all others the other; both
     are cut into blocks and only pairs of blocks with an other side meet.
     """
     at = ["band", "bucket"]
-    members = shared.select(*at, "key").join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
+    members = shared.where("hub <> key").select(*at, "key").join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
     members = stored(members.withColumn("label", F.coalesce("label", "key")), "members")
     sizes = members.groupBy(*at, "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy(*at).agg(
@@ -241,8 +246,11 @@ def _rest_links(shared: DataFrame, sketch: DataFrame, sets: DataFrame, labels: D
         "left": ~F.col("is_main") & (F.col("own") == F.col("x")),
         "right": F.col("is_main") | (F.col("own") == F.col("y")),
     }).drop("is_main", "own")
+    tasks = stored(tasks, "blocks")
+    width = max(1, -(-tasks.count() // ROWS_PER_CALL))
+    tasks = tasks.withColumn("call", F.pmod(F.xxhash64(*at, "x", "y"), F.lit(width)))
     tasks = tasks.join(sketch.select("key", "registers", "n_shingles"), "key").join(sets, "key")
-    return tasks.groupBy(*at, "x", "y").applyInPandas(_block_links, "a binary, b binary").distinct()
+    return tasks.groupBy("call").applyInPandas(_blocks_links, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -271,7 +279,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     first = stored(_hub_links(shared, sketch, sets), "hub-links")
     labels = stored(components(first), "labels")
-    rest = _rest_links(shared, sketch, sets, labels)
+    rest = stored(_rest_links(shared, sketch, sets, labels), "rest-links")
     # Rows that share an id but not a text are one document.
     by_id = filled.select("id", "key").distinct().groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("z"), F.count(F.lit(1)).alias("n"))
     several = filled.select("id", F.col("key").alias("b")).join(by_id.where("n > 1"), "id").select("a", "b")
