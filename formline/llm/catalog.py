@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from formline.llm import setsketch
-from formline.llm.common import documents
+from formline.llm import mixing, packing, quality, secrets, setsketch
+from formline.llm.common import documents, table
 from formline.llm.registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -12,3 +12,23 @@ __all__ = ["QUERIES", "SQL"]
 @query("op8_setsketch_near_duplicates")
 def op8(spark, sf_dir):
     return setsketch.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op4_best_fit_packing")
+def op4(spark, sf_dir):
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
+@query("op9_mix_sources")
+def op9(spark, sf_dir):
+    return mixing.taken_words(documents(spark, sf_dir))
+
+
+@query("op1_secret_scan")
+def op1(spark, sf_dir):
+    return secrets.scan(documents(spark, sf_dir))
+
+
+@query("op10_quality_pairs")
+def op10(spark, sf_dir):
+    return quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))

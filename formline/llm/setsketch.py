@@ -33,7 +33,7 @@ PERCENT = 75
 #: Pairs whose estimated similarity is lower aren't compared: five standard errors below the limit.
 PLAUSIBLE = 0.55
 #: Members of a bucket that meet in one task are split into blocks of about this many.
-BLOCK = 256
+BLOCK = 512
 #: Small buckets are handed to Python together, about this many rows at a time.
 ROWS_PER_CALL = 2000
 
@@ -211,7 +211,7 @@ def _blocks_links(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([link for at in pairs for link in _block_links(rows, at)], columns=["a", "b"])
 
 
-def _rest_links(shared: DataFrame, sketch: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+def _rest_links(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Links between components that meet in a bucket, for members that the bucket's first one doesn't cover.
 
     The first member has met all others already. The members of the bucket's most frequent component form one side, all others the other; both
@@ -249,7 +249,7 @@ def _rest_links(shared: DataFrame, sketch: DataFrame, sets: DataFrame, labels: D
     tasks = stored(tasks, "blocks")
     width = max(1, -(-tasks.count() // ROWS_PER_CALL))
     tasks = tasks.withColumn("call", F.pmod(F.xxhash64(*at, "x", "y"), F.lit(width)))
-    tasks = tasks.join(sketch.select("key", "registers", "n_shingles"), "key").join(sets, "key")
+    tasks = tasks.join(sets, "key")
     return tasks.groupBy("call").applyInPandas(_blocks_links, "a binary, b binary").distinct()
 
 
@@ -275,11 +275,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     of_ids = only(filled.select("id", "key"), wanted, "key").groupBy("key").agg(F.min("id").alias("id"))
     first_ids = of_ids.select("id").distinct()
     sets = shingle_sets(only(plain, first_ids, "id")).dropDuplicates(["key"])
-    sets = stored(only(sets, wanted, "key"), "sets")
+    sets = stored(sets.join(sketch.drop("buckets").join(wanted, "key", "left_semi"), "key"), "sets")
 
     first = stored(_hub_links(shared, sketch, sets), "hub-links")
     labels = stored(components(first), "labels")
-    rest = stored(_rest_links(shared, sketch, sets, labels), "rest-links")
+    rest = stored(_rest_links(shared, sets, labels), "rest-links")
     # Rows that share an id but not a text are one document.
     by_id = filled.select("id", "key").distinct().groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("z"), F.count(F.lit(1)).alias("n"))
     several = filled.select("id", F.col("key").alias("b")).join(by_id.where("n > 1"), "id").select("a", "b")
