@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from formline.llm import mixing, packing, quality, secrets, setsketch
+from formline.llm import language, mixing, packing, quality, rules, secrets, setsketch, vectors
 from formline.llm.common import documents, table
 from formline.llm.registry import QUERIES, SQL, query
 
@@ -32,3 +32,18 @@ def op1(spark, sf_dir):
 @query("op10_quality_pairs")
 def op10(spark, sf_dir):
     return quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op2_hyperdimensional_language")
+def op2(spark, sf_dir):
+    return language.identify(documents(spark, sf_dir))
+
+
+@query("op3_cross_polytope_near_duplicates")
+def op3(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_adaptive_quality_rules")
+def op7(spark, sf_dir):
+    return rules.judge(documents(spark, sf_dir))
