@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from formline.llm import language, mixing, packing, quality, rules, secrets, setsketch, vectors
+from formline.llm import language, mixing, packing, pii, quality, rules, secrets, setsketch, toxicity, vectors
 from formline.llm.common import documents, table
 from formline.llm.registry import QUERIES, SQL, query
 
@@ -47,3 +47,13 @@ def op3(spark, sf_dir):
 @query("op7_adaptive_quality_rules")
 def op7(spark, sf_dir):
     return rules.judge(documents(spark, sf_dir))
+
+
+@query("op5_noisy_or_toxicity")
+def op5(spark, sf_dir):
+    return toxicity.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op6_semi_markov_personal_data")
+def op6(spark, sf_dir):
+    return pii.detect(documents(spark, sf_dir))
