@@ -19,12 +19,12 @@ ROUNDS = 4
 #: Parts of a running sum. The order of documents in their source depends on it, so it is fixed.
 BUCKETS = 1024
 
-_WORD = "[^\\x20\\x09-\\x0D]+"
+WORD = "[^\\x20\\x09-\\x0D]+"
 _SOURCE = "source"
 
 
 def word_count(text: str) -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(_WORD)), F.lit(0)).cast("bigint")
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:

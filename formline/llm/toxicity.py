@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -15,11 +16,15 @@ from pyspark.sql import functions as F
 from formline.llm.common import held_out, only
 
 #: Labelled rows that a fit uses at most, drawn by hash of the id.
-SAMPLE_ROWS = 12_000
-SLOTS = 1 << 18
+SAMPLE_ROWS = 6_000
+SLOTS = 1 << 22
+#: A word counts as itself and by its beginnings of these lengths, so that forms of a word share weight.
+BEGINNINGS = (4, 5)
+#: Pull of weights towards zero.
+PENALTY = 2e-5
 #: Words of fewer documents of the sample have no weight.
-LEAST_DOCS = 4
-PASSES = 150
+LEAST_DOCS = 8
+PASSES = 120
 
 _END = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -35,15 +40,21 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
+@lru_cache(400_000)
+def _slots_of(word: str) -> tuple[int, ...]:
+    parts = [word, *(f"{n}{word[:n]}" for n in BEGINNINGS if len(word) >= n)]
+    return tuple(xxhash.xxh3_64_intdigest(p) % SLOTS for p in parts)
+
+
 def slots(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words of a text and the index of the first word of each sentence with words."""
     found, starts = [], []
     text = text or ""
     for a, b in sentences(text):
-        words = {w for w in _WORD.findall(text[a:b].lower())}
+        words = set(_WORD.findall(text[a:b].lower()))
         if words:
             starts.append(len(found))
-            found += [xxhash.xxh3_64_intdigest(w) % SLOTS for w in sorted(words)]
+            found += {slot for w in words for slot in _slots_of(w)}
     return np.array(found, np.int32), np.array(starts, np.int64)
 
 
@@ -74,20 +85,19 @@ def fit_bags(bags: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> No
     label = label[keep].astype(float)
     if not len(label) or label.min() == label.max():
         return Noisy(np.zeros(SLOTS, np.float32), 30.0 if len(label) and label.max() == 1 else -30.0)
-    words = np.concatenate([bags[i][0] for i in keep]).astype(np.int64)
+    words = np.concatenate([bags[i][0] for i in keep])
     n_words = np.array([len(bags[i][0]) for i in keep])
     n_sentences = np.array([len(bags[i][1]) for i in keep])
     first_word = np.concatenate([[0], np.cumsum(n_words)[:-1]])
     starts = np.concatenate([bags[i][1] + at for i, at in zip(keep, first_word, strict=True)])
     first_sentence = np.concatenate([[0], np.cumsum(n_sentences)[:-1]])
     # Words of few documents are noise here: only frequent ones are numbered and learned.
-    doc = np.repeat(np.arange(len(keep)), n_words)
-    seen = np.unique(doc * SLOTS + words) % SLOTS
+    seen = np.concatenate([np.unique(bags[i][0]) for i in keep])
     used = np.flatnonzero(np.bincount(seen, minlength=SLOTS) >= LEAST_DOCS)
-    number = np.full(SLOTS, len(used))
+    number = np.full(SLOTS, len(used), np.int32)
     number[used] = np.arange(len(used))
     at = number[words]
-    sentence = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
+    sentence = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(words))))
     known = at < len(used)
     at, sentence_of = at[known], sentence[known]
     owner = np.repeat(np.arange(len(keep)), n_sentences)
@@ -100,10 +110,11 @@ def fit_bags(bags: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> No
         chance = np.clip(1 - np.exp(none), 1e-9, 1)
         # d(-log likelihood)/dz: p for label 0, -p (1 - P) / P for label 1.
         slope = np.where(label == 1, -(1 - chance) / chance, 1.0)[owner] * p / len(label)
-        g = np.append(np.bincount(at, weights=slope[sentence_of], minlength=len(used)) + 2e-6 * w[:-1], slope.sum())
+        g = np.append(np.bincount(at, weights=slope[sentence_of], minlength=len(used)) + PENALTY * w[:-1], slope.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         change = 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
-        w[:-1] -= change[:-1]
+        # Words only speak for toxicity: else a long harmless rest of the sentence would outweigh them.
+        w[:-1] = np.maximum(w[:-1] - change[:-1], 0)
         bias -= change[-1]
     weights = np.zeros(SLOTS, np.float32)
     weights[used] = w[:-1]
