@@ -115,11 +115,12 @@ def span_features(text: str, start: int, end: int, tokens: int, before: str) ->
     span = text[start:end]
     d = _digits(span)
     plain, wordy = bool(_PLAIN.fullmatch(span)), tokens > 1 and bool(_WORDY.fullmatch(span))
-    if end - start > 80 or (len(d) < 4 and not plain and not wordy):
-        return None
     parts = re.split(r"[^0-9]+", span)
-    f = np.zeros(len(_FEATURES))
     dots = span.count(".") == 3 and len([p for p in parts if p]) == 4
+    # Years, times and counts have fewer digits than any number that reaches a person.
+    if end - start > 80 or (len(d) < 7 and not plain and not wordy and not dots):
+        return None
+    f = np.zeros(len(_FEATURES))
     n = len(d)
     groups = [len(p) for p in parts if p]
     f[:21] = (
