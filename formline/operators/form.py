@@ -59,7 +59,7 @@ class FormSpec:
         return max(self.windows)
 
     def within_date(self) -> list[Column]:
-        return [F.desc_nulls_last(c) for c in (self.id, *self.measures)]
+        return [F.desc_nulls_last(c) for c in (self.id, *self.measures, *self.carry)]
 
     def newest_first(self) -> list[Column]:
         return [F.desc_nulls_last(self.date), *self.within_date()]

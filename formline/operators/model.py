@@ -32,14 +32,18 @@ REGRESSION_RANGES = {"step": (0.0, 0.5), "depth": (3, 10), "rows": (0.4, 0.9), "
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Settings of a boosted-tree fit. ``tolerance`` stops it when held-out rows stop improving."""
+    """Settings of a boosted-tree fit.
+
+    With held-out rows the fit keeps the rounds up to their least loss, where ``patience`` more
+    rounds bring no lower one.
+    """
 
     depth: int = 5
     step: float = 0.1
     rows: float = 1.0
     columns: float = 1.0
-    rounds: int = 20
-    tolerance: float = 0.01
+    rounds: int = 100
+    patience: int = 20
     seed: int = SEED
 
 
@@ -55,15 +59,24 @@ class Search:
         return min(self.trials, key=lambda t: t[1])[0]
 
 
-def _estimator(kind: str, params: TreeParams, label: str, early_stopping: bool):
+def kept_rounds(losses: Sequence[float], patience: int) -> int:
+    """Rounds up to the least loss before ``patience`` rounds bring none lower."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _estimator(kind: str, params: TreeParams, label: str):
     settings = dict(
         featuresCol="features", labelCol=label, maxDepth=params.depth, stepSize=params.step, maxIter=params.rounds,
         subsamplingRate=params.rows, featureSubsetStrategy=str(params.columns), seed=params.seed,
     )
     if params.columns >= 1.0:
         settings["featureSubsetStrategy"] = "all"
-    if early_stopping:
-        settings |= dict(validationIndicatorCol=HELD_OUT, validationTol=params.tolerance)
     if kind == "classifier":
         return GBTClassifier(**settings)
     return GBTRegressor(lossType="absolute", **settings)
@@ -73,11 +86,24 @@ def fit_trees(
     rows: DataFrame, features: Sequence[str], label: str, params: TreeParams, kind: str, held_out: str | None = None
 ) -> PipelineModel:
     """Fit on rows with a label. ``held_out`` is a boolean SQL expression: those rows only decide when to stop."""
-    data = rows.where(F.col(label).isNotNull())
+    data = rows.where(F.col(label).isNotNull()).na.drop(subset=list(features))
     if held_out:
         data = data.withColumn(HELD_OUT, F.expr(held_out))
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, _estimator(kind, params, label, held_out is not None)]).fit(data)
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    if not held_out:
+        return Pipeline(stages=[assembler, _estimator(kind, params, label)]).fit(data)
+    fitting = data.where(~F.col(HELD_OUT))
+    fitted = Pipeline(stages=[assembler, _estimator(kind, params, label)]).fit(fitting)
+    held = assembler.transform(data.where(HELD_OUT))
+    if not held.take(1):
+        return fitted
+    trees = fitted.stages[-1]
+    losses = trees.evaluateEachIteration(held) if kind == "classifier" else trees.evaluateEachIteration(held, "absolute")
+    rounds = kept_rounds(losses, params.patience)
+    # The seed is fixed: a fit of fewer rounds grows the same first trees.
+    return fitted if rounds == len(losses) else Pipeline(
+        stages=[assembler, _estimator(kind, replace(params, rounds=rounds), label)]
+    ).fit(fitting)
 
 
 def train_classifier(rows, features=HOME_WIN_FEATURES, label=LABEL, params=TreeParams(), held_out=None):
@@ -91,18 +117,25 @@ def train_regressor(rows, features, label, params=TreeParams(), held_out=None):
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Rows with ``model_prediction``: probability of a home win, or the predicted number."""
+    """Rows with ``model_prediction``: probability of a home win, or the predicted number.
+
+    A row that lacks a feature stays, with a NULL prediction.
+    """
+    complete = F.lit(True)
+    for name in model.stages[0].getInputCols():
+        complete = complete & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
     scored = model.transform(rows)
     if "probability" in scored.columns:
         scored = scored.withColumn(PREDICTION, vector_to_array("probability")[1])
     else:
         scored = scored.withColumn(PREDICTION, F.col("prediction"))
-    return scored.select(*rows.columns, PREDICTION)
+    return scored.select(*rows.columns, F.when(complete, F.col(PREDICTION)).alias(PREDICTION))
 
 
 def score_splits(model: PipelineModel, split_rows: DataFrame) -> DataFrame:
-    """Train, validation and test rows with predictions; copies of a row count once."""
-    return score(model, split_rows.where(F.col("dataset").isNotNull())).dropDuplicates()
+    """Train, validation and test rows with predictions; copies of a row count once, rows that can't be scored not at all."""
+    scored = score(model, split_rows.where(F.col("dataset").isNotNull()))
+    return scored.where(F.col(PREDICTION).isNotNull()).dropDuplicates()
 
 
 def score_games(model: PipelineModel, games: DataFrame) -> DataFrame:
@@ -150,13 +183,15 @@ def hyperparam_search(
 
     def run(params: TreeParams) -> tuple[TreeParams, float]:
         model = fit_trees(rows, features, label, params, kind, "dataset = 'validation'")
-        held = score(model, rows.where("dataset = 'validation'"))
+        held = score(model, rows.where("dataset = 'validation'")).where(F.col(PREDICTION).isNotNull())
         params = replace(params, rounds=model.stages[-1].getNumTrees)
         return params, held.agg(METRICS[metric](label, PREDICTION).alias("m")).first().m
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        done = list(pool.map(run, draw_params(trials, ranges, seed, base)))
-    rows.unpersist()
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            done = list(pool.map(run, draw_params(trials, ranges, seed, base)))
+    finally:
+        rows.unpersist()
     return Search(metric, done)
 
 
@@ -190,7 +225,7 @@ def feature_importance(
     One plan covers all features: a row is scored once as it is and once per feature with that
     feature taken from another row, and one aggregation gives the loss of each variant.
     """
-    rows = rows.select(*features, label).na.drop().dropDuplicates()
+    rows = rows.na.drop(subset=[*features, label])
     names = F.array(*[F.lit(f) for f in features])
     variants = _with_shifted(rows, features, seed).select(
         label, "_own", "_other", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("_variant")

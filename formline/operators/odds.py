@@ -17,6 +17,9 @@ EVENT_KEYS = ["id", "commence_time", "away_team", "home_team"]
 # Bookmakers laid out as columns.
 BOOKMAKERS = ["mybookieag", "betmgm", "draftkings", "betrivers", "fanduel", "bet365"]
 
+# The first price of a bookmaker by update times; the market decides between equal times, then the price.
+PRICE_ORDER = ("bookmaker_last_update", "market_last_update", "market_key")
+
 
 def parse_odds_event(df: DataFrame, column: str = "data") -> DataFrame:
     """Six event columns and ``bookmakers`` from an event struct, or from its JSON text.
@@ -64,7 +67,7 @@ def _priced(df: DataFrame, keys: Sequence[str], index: Sequence[str]) -> DataFra
 
 
 def pivot_odds_by_book(
-    rows: DataFrame, bookmakers: Sequence[str] = BOOKMAKERS, order: Sequence[str] = ("bookmaker_last_update",)
+    rows: DataFrame, bookmakers: Sequence[str] = BOOKMAKERS, order: Sequence[str] = PRICE_ORDER
 ) -> DataFrame:
     """One row per event and outcome with a price column per bookmaker.
 
@@ -83,7 +86,7 @@ def side_filter(rows: DataFrame, side: str) -> DataFrame:
 
 
 def merge_home_away_odds(
-    rows: DataFrame, bookmakers: Sequence[str] = BOOKMAKERS, order: Sequence[str] = ("bookmaker_last_update",)
+    rows: DataFrame, bookmakers: Sequence[str] = BOOKMAKERS, order: Sequence[str] = PRICE_ORDER
 ) -> DataFrame:
     """One row per event with both sides' outcome and prices, suffixed ``_away`` and ``_home``.
 

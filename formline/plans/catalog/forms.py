@@ -238,13 +238,12 @@ def league_rank_pitcher(spark, sf):
 
 @form_query(
     "stack_metrics",
-    "UNPIVOT (SELECT team_name, season, officialdate, id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in TEAM_FORM.form_columns)
-    + f" FROM team_snaps) ON {TEAM_COLUMNS} INTO NAME metric VALUE metric_value",
+    "SELECT * FROM (SELECT team_name, season, officialdate, id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in TEAM_FORM.form_columns)
+    + f" FROM team_snaps) UNPIVOT INCLUDE NULLS (metric_value FOR metric IN ({TEAM_COLUMNS}))",
 )
 def stack_metrics(spark, sf):
     snaps = form.snapshots(_teams(spark, sf), TEAM_FORM)
-    long = ranks.stack_metrics(snaps, ["team_name", "season", "officialdate", "id"], TEAM_FORM.form_columns)
-    return long.where("metric_value is not null")
+    return ranks.stack_metrics(snaps, ["team_name", "season", "officialdate", "id"], TEAM_FORM.form_columns)
 
 
 @form_query(

@@ -20,11 +20,14 @@ from formline.operators.datasets import HOME_WIN_FEATURES, LABEL, dataset_home_w
 from formline.operators.flatten import flatten_all, flatten_games
 from formline.operators.form import latest_rows
 from formline.operators.matchup import assemble_matchup
+from formline.scratch import new_folder
 from formline.sources.documents import scan_game_json, scan_odds_json
 from formline.sources.tables import scan_parquet, sink_csv_period, sink_parquet, snapshot_tables
 
 Tables = Mapping[str, DataFrame]
 FEATURE_TABLES = ("games_history", "team_batting", "individual_pitching")
+# Features are stored by day in every mode, so that a run of some days replaces or adds just these.
+FEATURE_PARTITIONS = ("Season", "OfficialDate")
 
 
 def load_tables(spark: SparkSession, source: str, names=FEATURE_TABLES) -> dict[str, DataFrame]:
@@ -87,7 +90,7 @@ def build_training_features(
 ) -> DataFrame:
     rows = training_features(load_tables(spark, source), begin, end, **options)
     if output:
-        sink_parquet(rows, output, mode, ["Season"] if mode == "overwrite" else ())
+        sink_parquet(rows, output, mode, FEATURE_PARTITIONS)
     return rows
 
 
@@ -108,13 +111,16 @@ def build_prediction_features(
 ) -> DataFrame:
     rows = prediction_features(load_tables(spark, source, (*FEATURE_TABLES[1:], "scheduled")), day, stamp, **options)
     if output:
-        sink_parquet(rows, output, mode)
+        sink_parquet(rows, output, mode, FEATURE_PARTITIONS)
     return rows
 
 
 def latest_batch(scheduled: DataFrame) -> DataFrame:
     """One row per game: the one of its newest batch."""
-    return latest_rows(scheduled, ["GamePK"], ["batch"]) if "batch" in scheduled.columns else scheduled
+    if "batch" not in scheduled.columns:
+        return scheduled
+    # Rows of one batch that differ are decided by their other columns, not by chance.
+    return latest_rows(scheduled, ["GamePK"], ["batch", *sorted(set(scheduled.columns) - {"GamePK", "batch"})])
 
 
 def assemble(historical: DataFrame, scheduled: DataFrame, every_batch: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -164,10 +170,13 @@ def train_model(
     test: int = 2024, trials: int = 100, parallelism: int = 2, base: model.TreeParams = model.TreeParams(),
 ) -> Training:
     done = train(scan_parquet(spark, table), validation, test, trials, base, parallelism)
-    root = f"{output.rstrip('/')}/{tag}"
-    sink_parquet(done.scored, f"{root}/training_data_with_predictions", mode)
-    # Results below read what was written rather than scoring again.
-    summary = metrics.result_summary(scan_parquet(spark, f"{root}/training_data_with_predictions"))
+    root = "/".join(filter(None, (output.rstrip("/"), tag)))
+    # Scored once; the results below are those of this run, whatever earlier runs have left in the output.
+    scored = new_folder(spark, "scored")
+    sink_parquet(done.scored, scored)
+    scored = scan_parquet(spark, scored)
+    sink_parquet(scored, f"{root}/training_data_with_predictions", mode)
+    summary = metrics.result_summary(scored)
     sink_parquet(metrics.accuracy_rollup(summary), f"{root}/accuracy_55_test_result", mode)
     sink_parquet(metrics.accuracy_ztest(summary), f"{root}/accuracy_55_test_detail", mode)
     rows = season_split(scan_parquet(spark, table), validation, test).where("dataset = 'train'")
@@ -183,13 +192,14 @@ def predict(
 ) -> DataFrame:
     rows = model.score_games(model.load_model(model_path), scan_parquet(spark, table))
     if output:
-        sink_parquet(rows, f"{output.rstrip('/')}/{tag}/game_predictions", mode)
+        root = "/".join(filter(None, (output.rstrip("/"), tag)))
+        sink_parquet(rows, f"{root}/game_predictions", mode)
     return rows
 
 
 def format_odds(
     spark: SparkSession, snapshots: str, output: str | None = None, first: str | None = None, last: str | None = None,
-    zones: DataFrame | None = None, mode: str = "overwrite", order: Sequence[str] = ("bookmaker_last_update",),
+    zones: DataFrame | None = None, mode: str = "overwrite", order: Sequence[str] = odds.PRICE_ORDER,
 ) -> DataFrame:
     """Odds snapshots to one row per event: prices of both sides by bookmaker, local start, game number."""
     rows = odds.unpivot_bookmakers(odds.parse_odds_event(scan_odds_json(spark, snapshots)))

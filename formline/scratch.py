@@ -2,7 +2,7 @@
 
 Executors on other machines must see these folders, so they live below the
 shared folder named by ``spark.checkpoint.dir``. Only where that setting is
-missing (tests, a laptop) is a folder of this machine used.
+missing and Spark runs in one process (tests, a laptop) is a folder of this machine used.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="formline-")
         spark.conf.set(CHECKPOINT_CONF, root)
     return root.rstrip("/")

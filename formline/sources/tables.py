@@ -17,13 +17,28 @@ def scan_parquet(spark: SparkSession, path: str, schema: str | T.StructType | No
     return reader.parquet(path)
 
 
+def _check_layout(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    found = {n.split("=")[0] if "=" in n else "" for n in names if not n.startswith(("_", "."))}
+    if found - {partition_by[0] if partition_by else ""}:
+        wanted = f"partitioned by {', '.join(partition_by)}" if partition_by else "without partitions"
+        raise ValueError(f"{path} holds a table of another layout; rows {wanted} can't be added to it")
+
+
 def sink_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """Write Parquet. With partition columns, ``overwrite`` replaces only the partitions written,
-    so a day can be run again without doubling or dropping rows.
+    so a day can be run again without doubling or dropping rows. Adding to a folder of another
+    layout is an error: readers would not see part of its rows.
 
     Rows of one partition value are spread over tasks by Spark's rebalancing, which also splits a
     value that holds much of the data.
     """
+    if partition_by or mode == "append":
+        _check_layout(df.sparkSession, path, partition_by)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)

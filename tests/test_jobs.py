@@ -193,3 +193,26 @@ def test_command_line_passes_arguments(monkeypatch):
     monkeypatch.setitem(cli.JOBS, "train", (lambda spark, **kw: seen.update(kw), *cli.JOBS["train"][1:]))
     cli.main(["train", "--table", "t", "--output", "o", "--tag", "x", "--trials", "3"])
     assert seen == {"table": "t", "output": "o", "tag": "x", "trials": 3, "stopped": True}
+
+
+def test_feature_output_can_be_run_again(spark, tmp_path):
+    import datetime
+
+    import pytest
+
+    from formline.plans.jobs import FEATURE_PARTITIONS
+    from formline.sources.tables import scan_parquet, sink_parquet
+
+    path = str(tmp_path / "features")
+    day = lambda m, d: datetime.date(2024, m, d)
+    rows = lambda *days: spark.createDataFrame([(i, 2024, d) for i, d in days], "GamePK long, Season int, OfficialDate date")
+    for run in (rows((1, day(4, 1)), (2, day(4, 2))), rows((3, day(5, 1))), rows((3, day(5, 1)))):
+        sink_parquet(run, path, "overwrite", FEATURE_PARTITIONS)
+    assert sorted(r.GamePK for r in scan_parquet(spark, path).collect()) == [1, 2, 3]
+    sink_parquet(rows((4, day(5, 2))), path, "append", FEATURE_PARTITIONS)
+    kept = scan_parquet(spark, path)
+    assert sorted(r.GamePK for r in kept.collect()) == [1, 2, 3, 4]
+    plan = kept.where("Season = 2024 and OfficialDate = date '2024-05-01'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(Season" in plan
+    with pytest.raises(ValueError, match="another layout"):
+        sink_parquet(rows((5, day(5, 3))), path, "append")

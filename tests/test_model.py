@@ -63,7 +63,7 @@ def test_scored_splits_and_games(rows):
 
 
 def test_early_stopping_needs_fewer_rounds(rows):
-    params = model.TreeParams(depth=3, rounds=12, step=0.9, tolerance=0.05)
+    params = model.TreeParams(depth=3, rounds=12, step=0.9, patience=5)
     fitted = model.train_classifier(
         rows.where("dataset in ('train', 'validation')"), FEATURES, params=params, held_out="dataset = 'validation'"
     )
@@ -99,3 +99,20 @@ def test_shuffling_is_a_permutation(rows):
     mixed = model._with_shifted(rows.select(*FEATURES, datasets.LABEL), FEATURES, 1).select("_own", "_other").collect()
     assert sorted(tuple(r._own) for r in mixed) == sorted(tuple(r._other) for r in mixed)
     assert sum(tuple(r._own) == tuple(r._other) for r in mixed) < 5
+
+
+def test_kept_rounds_follow_the_least_loss():
+    assert model.kept_rounds([3, 2, 1, 2, 2, 0.5], 2) == 3
+    assert model.kept_rounds([3, 2, 1, 2, 2, 0.5], 4) == 6
+    assert model.kept_rounds([1.0], 5) == 1
+
+
+def test_a_game_without_a_feature_keeps_its_row(rows):
+    from pyspark.sql import functions as F
+
+    features = ["signal", "noise", "other"]
+    fitted = model.train_classifier(rows.where("dataset = 'train'"), features, "HomeTeamWin", QUICK)
+    holed = rows.withColumn("noise", F.when(F.col("GamePK") % 2 == 0, F.col("noise")))
+    scored = model.score(fitted, holed)
+    assert scored.count() == rows.count()
+    assert scored.where("(model_prediction is null) <> (noise is null)").count() == 0
