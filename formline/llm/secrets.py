@@ -64,28 +64,27 @@ def window_bits(candidate: Column) -> Column:
     Counts per character follow the window: one goes up and one goes down per step, and the sum of
     count * log2(count) changes by the terms of these two alone.
     """
-    letters = F.split(candidate, "")
     begin = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best")
     )
-
-    places = F.transform(letters, lambda c: F.position(c, F.lit(ALPHABET)) - 1)
-
-    def slide(state, i):
-        goes_in, goes_out = F.get(places, i), F.get(places, i - WINDOW)
-        up = F.get(state.counts, goes_in)
-        left = F.when(i >= WINDOW, F.get(state.counts, goes_out))
+    # Each step gets the character that enters and the one that leaves: the arrays are made once per
+    # candidate, as what a lambda names from outside would be computed again at every step.
+    enters = F.transform(F.split(candidate, ""), lambda c: F.position(c, F.lit(ALPHABET)) - 1)
+    steps = F.transform(enters, lambda c, i: F.struct(i.alias("i"), c.alias("enters")))
+    leaves = F.concat(F.array_repeat(F.lit(-1), WINDOW), F.slice(enters, 1, F.length(candidate) - WINDOW))
+    steps = F.zip_with(steps, leaves, lambda s, c: F.struct(s.i.alias("i"), s.enters.alias("enters"), c.alias("leaves")))
+
+    def slide(state, at):
+        full = at.i >= WINDOW
+        up, left = F.get(state.counts, at.enters), F.get(state.counts, at.leaves)
+        change = _weight(up + 1) - _weight(up) - F.when(full, _weight(left) - _weight(left - 1)).otherwise(F.lit(0.0))
         # Where the same character enters and leaves nothing changes.
-        same = (i >= WINDOW) & (goes_in == goes_out)
-        change = _weight(up + 1) - _weight(up) - F.when(i >= WINDOW, _weight(left) - _weight(left - 1)).otherwise(F.lit(0.0))
-        total = F.when(same, state.sum).otherwise(state.sum + change)
-        counts = F.transform(
-            state.counts, lambda c, j: c + F.when(j == goes_in, 1).otherwise(0) - F.when((i >= WINDOW) & (j == goes_out), 1).otherwise(0)
-        )
-        bits = F.when(i >= WINDOW - 1, F.log2(F.lit(float(WINDOW))) - total / WINDOW).otherwise(F.lit(0.0))
+        total = F.when(at.enters == at.leaves, state.sum).otherwise(state.sum + change)
+        counts = F.transform(state.counts, lambda c, j: c + F.when(j == at.enters, 1).otherwise(0) - F.when(j == at.leaves, 1).otherwise(0))
+        bits = F.when(at.i >= WINDOW - 1, F.log2(F.lit(float(WINDOW))) - total / WINDOW).otherwise(F.lit(0.0))
         return F.struct(counts.alias("counts"), total.alias("sum"), F.greatest(state.best, bits).alias("best"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.length(candidate) - 1), begin, slide, lambda s: s.best)
+    return F.aggregate(steps, begin, slide, lambda s: s.best)
 
 
 def _is_secret(candidate: Column) -> Column:

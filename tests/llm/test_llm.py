@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import math
+import random
 import re
 import zlib
 
@@ -439,3 +441,17 @@ def test_stages_take_rows_at_the_edges(spark, edges):
     for name, stage in corpus_pipeline.STAGES:
         if name != "quality_classifier":
             stage(spark, edges, SF).count()
+
+
+def test_windowed_entropy_of_long_candidates_against_brute_force(spark):
+    draw = random.Random(3)
+    texts = ["".join(draw.choice(secrets.ALPHABET[:k]) for _ in range(n)) for k in (1, 2, 16, 67) for n in (24, 25, 40, 3000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, c string").select("i", secrets.window_bits(F.col("c")).alias("bits"))
+
+    def bits(window):
+        shares = [window.count(x) / len(window) for x in set(window)]
+        return -sum(p * math.log2(p) for p in shares)
+
+    for i, got in rows.collect():
+        best = max(bits(texts[i][k : k + secrets.WINDOW]) for k in range(len(texts[i]) - secrets.WINDOW + 1))
+        assert abs(got - best) < 1e-9
