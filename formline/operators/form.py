@@ -210,21 +210,31 @@ def with_ties(found: DataFrame, rows: DataFrame, spec: FormSpec) -> DataFrame:
 def as_of_grid(snaps: DataFrame, as_of: DataFrame, spec: FormSpec, days: int | None = None) -> DataFrame:
     """Form of every entity on every as-of date of its season, for ranking.
 
-    ``as_of`` has (season, as_of) rows. A season's dates form one sorted list, limited by the
-    calendar; each snapshot is repeated for the dates it is valid for, from the day after it
-    up to the day of the next one. ``days`` is an upper bound of the (season, as_of) rows
-    where the caller has one; otherwise they are counted, and broadcast only if few.
+    ``as_of`` has (season, as_of) rows. A season's dates form one sorted list, and a second list,
+    limited by the calendar, says for every day of the season how many dates there are up to it.
+    A snapshot counts on the dates from the day after it up to the day of the next one: two
+    lookups give that slice of the list, so the work is that of the rows put out. ``days`` is an
+    upper bound of the (season, as_of) rows where the caller has one; otherwise they are
+    counted, and broadcast only if few.
     """
-    dates = as_of.select(spec.season, AS_OF).distinct()
+    dates = as_of.where(F.col(AS_OF).isNotNull()).select(spec.season, F.col(AS_OF).cast("date").alias(AS_OF)).distinct()
     small = (dates.count() if days is None else days) <= BROADCAST_DATES
     lists = dates.groupBy(spec.season).agg(F.sort_array(F.collect_set(AS_OF)).alias("_days"))
+    gap = lambda d, i: F.coalesce(F.date_diff(F.get("_days", i + 1), d), F.lit(1))
+    upto = F.flatten(F.transform("_days", lambda d, i: F.array_repeat(i + 1, gap(d, i))))
+    lists = lists.withColumn("_upto", upto)
+
+    def dates_upto(day):
+        place = F.date_diff(day, F.get("_days", F.lit(0)))
+        return F.when(place < 0, 0).when(place >= F.size("_upto"), F.size("_days")).otherwise(F.get("_upto", place))
+
     following = F.lead(spec.date).over(W.partitionBy(*spec.keys).orderBy(spec.date))
     valid = snaps.withColumn("_until", following).join(F.broadcast(lists) if small else lists, spec.season)
-    days_valid = F.filter(
-        "_days",
-        lambda d: (d > F.col(spec.date)) & (F.col("_until").isNull() | (d <= F.col("_until"))),
-    )
-    return valid.withColumn(AS_OF, F.explode(days_valid)).drop("_until", "_days")
+    # Spans are numbers before the explode: a snapshot without a date, or without a day to count on, has none.
+    valid = valid.withColumn("_past", dates_upto(F.col(spec.date)))
+    valid = valid.withColumn("_span", F.coalesce(dates_upto(F.col("_until")), F.size("_days")) - F.col("_past"))
+    days_valid = F.slice("_days", F.col("_past") + 1, F.greatest("_span", F.lit(0)))
+    return valid.withColumn(AS_OF, F.explode(days_valid)).drop("_until", "_days", "_upto", "_past", "_span")
 
 
 def entities_fit_window(df: DataFrame, spec: FormSpec, limit: int | None = None) -> bool:
