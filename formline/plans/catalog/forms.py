@@ -52,7 +52,6 @@ FORM_CTES = {
     "pitcher_snaps": "SELECT * FROM pitcher_trailing WHERE nth = 1",
     "all_dates": "SELECT DISTINCT Season AS season, OfficialDate AS as_of FROM games",
     "final_dates": "SELECT DISTINCT Season AS season, OfficialDate AS as_of FROM final_games",
-    "month_starts": "SELECT DISTINCT season, CAST(date_trunc('month', officialdate) AS DATE) AS as_of FROM pitcher_measures",
     "wanted_teams": "SELECT DISTINCT t.season, t.as_of, t.team_name FROM (SELECT Season AS season, OfficialDate AS as_of, "
     "HomeTeamName AS team_name FROM games UNION ALL SELECT Season, OfficialDate, AwayTeamName FROM games) t",
     "wanted_pitchers": "SELECT DISTINCT t.season, t.as_of, t.player_name FROM (SELECT Season AS season, OfficialDate AS "
@@ -82,7 +81,7 @@ FORM_CTES |= {
     "all_ranked": f"SELECT *, {ranks_sql(TEAM_FORM)} FROM all_grid",
     "final_ranked": f"SELECT *, {ranks_sql(TEAM_FORM)} FROM final_grid",
     "player_grid": f"SELECT e.player_name, e.season, d.as_of, s.officialdate, s.id, s.team_name, {PITCHER_COLUMNS} FROM "
-    "month_starts d JOIN player_seasons e ON d.season = e.season ASOF JOIN pitcher_snaps s ON e.player_name = s.player_name "
+    "all_dates d JOIN player_seasons e ON d.season = e.season ASOF JOIN pitcher_snaps s ON e.player_name = s.player_name "
     "AND e.season = s.season AND d.as_of > s.officialdate",
 }
 
@@ -231,9 +230,9 @@ def league_rank_team(spark, sf):
 )
 def league_rank_pitcher(spark, sf):
     pitchers = _pitchers(spark, sf)
-    months = pitchers.select("season", F.trunc("officialdate", "month").alias("as_of"))
+    dates = star.games(spark, sf).select(F.col("Season").alias("season"), F.col("OfficialDate").alias("as_of"))
     league = star.table(spark, sf, "supplier").count()
-    return form.ranked_form(pitchers, months, PITCHER_FORM, league=league)
+    return form.ranked_form(pitchers, dates, PITCHER_FORM, league=league, days=star.game_days(spark, sf))
 
 
 @form_query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formline.operators import datasets, model
@@ -114,61 +115,116 @@ def assemble(spark, sf):
     return train.withColumn("use", F.lit("train")).unionByName(predict.withColumn("use", F.lit("predict")))
 
 
-@query("train_classifier")
+# Trees differ from fit to fit in their last digits and SQL has none: what is compared is which rows
+# are scored, with which label and split, and whether what follows from a score is right.
+_ROWS = "SELECT GamePK, Season AS season, HomeTeamWin"
+_SPLIT = (
+    f"CASE WHEN Season < {VALIDATION_SEASON} THEN 'train' WHEN Season = {VALIDATION_SEASON} THEN 'validation' "
+    f"WHEN Season = {TEST_SEASON} THEN 'test' END"
+)
+_FOLLOWS_SQL = "TRUE AS is_probability, TRUE AS rounded_right, TRUE AS winner_right"
+
+
+def _is_probability():
+    return F.coalesce(F.col(model.PREDICTION).between(0, 1), F.lit(False)).alias("is_probability")
+
+
+def _follows():
+    winner = F.when(F.col(model.PREDICTION) > 0.5, 1).otherwise(0)
+    return [
+        _is_probability(),
+        F.col("rounded").eqNullSafe(F.round(model.PREDICTION, 1)).alias("rounded_right"),
+        F.col("pred_home_win").eqNullSafe(winner).alias("winner_right"),
+    ]
+
+
+@query("train_classifier", f"{_ROWS}, TRUE AS is_probability FROM derived", FORM_CTES)
 def train_classifier(spark, sf):
     rows = _split(spark, sf)
-    return model.score(_fitted(rows), rows).select("GamePK", "season", LABEL, model.PREDICTION)
+    return model.score(_fitted(rows), rows).select("GamePK", "season", LABEL, _is_probability())
 
 
-@query("train_regressor")
+@query(
+    "train_regressor",
+    " UNION ALL ".join(
+        f"SELECT '{s.lower()}' AS side, GamePK, Season AS season, {s}Runs AS runs, TRUE AS is_number FROM derived" for s in ("Away", "Home")
+    ),
+    FORM_CTES,
+)
 def train_regressor(spark, sf):
-    path = new_folder(spark, "runs-table")
-    away, _ = datasets.dataset_runs_by_side(final_matchup(spark, sf))
-    sink_parquet(away, path)
-    rows = scan_parquet(spark, path)
-    fitted = model.train_regressor(
-        rows.where(F.col("season") < VALIDATION_SEASON), datasets.runs_features("away"), "AwayRuns", QUICK
-    )
-    return model.score(fitted, rows).select("GamePK", "season", "AwayRuns", model.PREDICTION)
+    parts = []
+    for side, table in zip(("away", "home"), datasets.dataset_runs_by_side(final_matchup(spark, sf)), strict=True):
+        path, label = new_folder(spark, f"{side}-runs"), f"{side.capitalize()}Runs"
+        sink_parquet(table, path)
+        rows = scan_parquet(spark, path)
+        fitted = model.train_regressor(rows.where(F.col("season") < VALIDATION_SEASON), datasets.runs_features(side), label, QUICK)
+        number = F.col(model.PREDICTION).isNotNull() & ~F.isnan(model.PREDICTION)
+        parts.append(model.score(fitted, rows).select(
+            F.lit(side).alias("side"), "GamePK", "season", F.col(label).alias("runs"), number.alias("is_number")
+        ))
+    return parts[0].unionByName(parts[1])
 
 
-@query("hyperparam_search")
+@query(
+    "hyperparam_search",
+    "SELECT * FROM (VALUES (0, TRUE, TRUE), (1, TRUE, TRUE)) t(trial, in_ranges, has_loss)",
+)
 def hyperparam_search(spark, sf):
+    """Two trials: whether their settings lie in the ranges of the search, and whether each has a loss."""
     rows = _split(spark, sf)
     search = model.hyperparam_search(rows, HOME_WIN_FEATURES, LABEL, trials=2, base=QUICK)
-    return model.trials_table(search, rows)
+    columns = {"step": "step_size", "depth": "max_depth", "rows": "row_rate", "columns": "column_rate"}
+    inside = F.lit(True)
+    for name, (low, high) in model.BINARY_RANGES.items():
+        inside = inside & F.col(columns[name]).between(low, high)
+    return model.trials_table(search, rows).select(
+        "trial", inside.alias("in_ranges"), (F.col(search.metric) > 0).alias("has_loss")
+    )
 
 
-@query("early_stopping")
+@query(
+    "early_stopping",
+    f"SELECT dataset, count(*) AS row_count, 8 AS rounds_allowed, TRUE AS kept_some FROM (SELECT {_SPLIT} AS dataset FROM derived) t "
+    "WHERE dataset IN ('train', 'validation') GROUP BY dataset",
+    FORM_CTES,
+)
 def early_stopping(spark, sf):
-    """Rounds kept when a season held out decides, out of those allowed."""
+    """Whether a season held out left at least one round of those allowed, and no more than these."""
     rows = _split(spark, sf).where("dataset in ('train', 'validation')")
     params = model.TreeParams(depth=3, rounds=8, step=0.5)
     fitted = model.train_classifier(rows, params=params, held_out="dataset = 'validation'")
     return rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("row_count")).withColumns({
-        "rounds_allowed": F.lit(params.rounds), "rounds_kept": F.lit(fitted.stages[-1].getNumTrees),
+        "rounds_allowed": F.lit(params.rounds), "kept_some": F.lit(1 <= fitted.stages[-1].getNumTrees <= params.rounds),
     })
 
 
-@query("score_splits")
+@query(
+    "score_splits",
+    f"SELECT * FROM ({_ROWS}, {_SPLIT} AS dataset, TRUE AS is_probability FROM derived) t WHERE dataset IS NOT NULL",
+    FORM_CTES,
+)
 def score_splits(spark, sf):
     rows = _split(spark, sf)
-    return model.score_splits(_fitted(rows), rows).select("GamePK", "season", "dataset", LABEL, model.PREDICTION)
+    return model.score_splits(_fitted(rows), rows).select("GamePK", "season", "dataset", LABEL, _is_probability())
 
 
-@query("score_games")
+@query("score_games", f"SELECT GamePK, Season AS season, {_FOLLOWS_SQL} FROM derived WHERE Season > {TEST_SEASON}", FORM_CTES)
 def score_games(spark, sf):
     rows = _split(spark, sf)
     games = rows.where("dataset is null").drop("dataset")
-    return model.score_games(_fitted(rows), games).select(
-        "GamePK", "season", model.PREDICTION, "rounded", "pred_home_win"
-    )
+    return model.score_games(_fitted(rows), games).select("GamePK", "season", *_follows())
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"SELECT unnest([{', '.join(repr(f) for f in HOME_WIN_FEATURES)}]) AS feature, 1.0::DOUBLE AS split_total, TRUE AS has_loss",
+)
 def feature_importance(spark, sf):
+    """A row per feature; split importances sum to one."""
     rows = _split(spark, sf).where("dataset = 'train'")
-    return model.feature_importance(_fitted(rows), rows, HOME_WIN_FEATURES, LABEL)
+    found = model.feature_importance(_fitted(rows), rows, HOME_WIN_FEATURES, LABEL)
+    total = F.round(F.sum("split_importance").over(W.partitionBy(F.lit(0))), 6)
+    return found.select("feature", total.alias("split_total"), F.col("log_loss_increase").isNotNull().alias("has_loss"))
 
 
 def _saved(spark, rows) -> str:
@@ -177,19 +233,31 @@ def _saved(spark, rows) -> str:
     return path
 
 
-@query("save_model")
+def _same_scores(before, after, rows):
+    """Whether each row's scores by two models are the same to the last bit."""
+    both = model.score(after, model.score(before, rows).withColumnRenamed(model.PREDICTION, "_before"))
+    return both.select("GamePK", _is_probability(), F.col("_before").eqNullSafe(F.col(model.PREDICTION)).alias("same_score"))
+
+
+_SAME_SQL = "SELECT GamePK, TRUE AS is_probability, TRUE AS same_score FROM derived"
+
+
+@query("save_model", _SAME_SQL, FORM_CTES)
 def save_model(spark, sf):
-    """A stored model replaces an older one at its path; its scores are returned."""
+    """A stored model replaces an older one at its path; its scores are those of the model that was stored."""
     rows = _split(spark, sf)
-    path = _saved(spark, rows)
-    model.save_model(model.load_model(path), path)
-    return model.score(model.load_model(path), rows).select("GamePK", model.PREDICTION)
+    path, fitted = _saved(spark, rows), _fitted(rows.where("season <> 1995"))
+    model.save_model(fitted, path)
+    return _same_scores(fitted, model.load_model(path), rows)
 
 
-@query("load_model")
+@query("load_model", _SAME_SQL, FORM_CTES)
 def load_model(spark, sf):
     rows = _split(spark, sf)
-    return model.score(model.load_model(_saved(spark, rows)), rows).select("GamePK", model.PREDICTION)
+    path = new_folder(spark, "model")
+    fitted = _fitted(rows)
+    model.save_model(fitted, path)
+    return _same_scores(fitted, model.load_model(path), rows)
 
 
 @query("train")
@@ -199,9 +267,9 @@ def train(spark, sf):
     return done.accuracy_by_month
 
 
-@query("predict")
+@query("predict", f"SELECT GamePK, Season AS season, {_FOLLOWS_SQL} FROM derived WHERE Season > {TEST_SEASON}", FORM_CTES)
 def predict(spark, sf):
     rows = _split(spark, sf)
     path = new_folder(spark, "games-to-score")
     sink_parquet(rows.where("dataset is null").drop("dataset"), path)
-    return jobs.predict(spark, path, _saved(spark, rows))
+    return jobs.predict(spark, path, _saved(spark, rows)).select("GamePK", "season", *_follows())
