@@ -81,6 +81,8 @@ _FEATURES = (
 )
 _KEYS = tuple(re.compile(p, re.I) for p in (r"mail|contact|write", r"tel|phone|call|mobil|fax", r"card|visa|account", r"\bip\b|host|server|addr"))
 _WORDY = re.compile(r"[\w.%+-]+\W+at\W+[\w-]+(?:(?:\W+dot\W+|\.)[\w-]+)+", re.I)
+#: What a wordy address without "dot" can't lack; no segment is longer than 80 characters.
+_AT_HOST = re.compile(r"\Wat\W{1,80}[\w-]{1,80}\.[\w-]", re.I)
 _PLAIN = re.compile(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+")
 
 
@@ -94,8 +96,8 @@ def _trim(text: str, start: int, end: int) -> tuple[int, int]:
 
 def runs(text: str) -> Iterator[list[tuple[int, int]]]:
     """Maximal runs of tokens that hold a digit or an at sign, or join such ("at", "dot") with their neighbours."""
-    # Cheap test first: most texts have neither.
-    if not _DIGIT.search(text) and "@" not in text and not re.search(r"(?i)\bdot\b", text):
+    # Cheap test first: most texts have none of these, and no segment can be an entity without one.
+    if not _DIGIT.search(text) and "@" not in text and not re.search(r"(?i)\bdot\b", text) and not _AT_HOST.search(text):
         return
     tokens = [m.span() for m in _TOKEN.finditer(text)]
     hot = np.zeros(len(tokens), bool)

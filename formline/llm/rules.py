@@ -20,9 +20,10 @@ MOST_REPEATED = 30
 BIN = 1.04
 #: Groups of fewer documents take the thresholds of their language, and those of all documents after that.
 LEAST_GROUP = 200
-#: A rule rejects beyond the median plus this many distances from the median to the quartile, plus the slack.
-SPREAD = 8
-SLACK = {"symbols": 0.3, "dup_lines": 0.35, "repeats": 0.3, "long": 1.5, "short": 0.08}
+#: A rule rejects beyond this quantile of its group, times the margin. Symbols and word lengths are those of junk that
+#: can be several percent of a group, so their quantile lies below that; lines and words repeat in few documents.
+QUANTILE = {"symbols": 0.9, "dup_lines": 0.99, "repeats": 0.99, "long": 0.9, "short": 0.9}
+MARGIN = 1.25
 
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -79,14 +80,19 @@ def _rates() -> dict[str, Column]:
     }
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+
+
 def thresholds(rows: DataFrame) -> DataFrame:
-    """``(lang, source, rule, cut)``: each group's cut-offs.
+    """``(lang, source, rule, cut)``: each group's cut-offs, from its documents that pass the base rule.
 
+    Those that fail it are rejected anyway, and would lift the quantiles of repetition out of reach.
     A sketch counts values in bins of equal relative width; sketches merge by adding counts, in any
     order and with the same result. Those of a language and of all are merged from those of the groups.
     """
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("value")) for k, v in _rates().items()]))
-    values = rows.where(f"n_words >= {LEAST_WORDS}").select("lang", "source", each.alias("r")).select("lang", "source", "r.rule", "r.value")
+    values = rows.where(~_base_failed()).select("lang", "source", each.alias("r")).select("lang", "source", "r.rule", "r.value")
     low = F.lit(-(10**6))
     bins = values.withColumn("bin", F.when(F.col("value") > 1e-9, F.floor(F.log("value") / F.lit(float(np.log(BIN))))).otherwise(low))
     sketch = stored(bins.groupBy("lang", "source", "rule", "bin").agg(F.count(F.lit(1)).alias("n")), "sketches")
@@ -96,10 +102,9 @@ def thresholds(rows: DataFrame) -> DataFrame:
         group = W.partitionBy(*key, "rule")
         ranked = merged.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("all", F.sum("n").over(group))
         value = F.when(F.col("bin") == low, F.lit(0.0)).otherwise(F.pow(F.lit(BIN), F.col("bin") + 0.5))
-        at = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * q, value))
-        slack = F.create_map(*[F.lit(x) for pair in SLACK.items() for x in pair])
-        found = ranked.groupBy(*key, "rule").agg(at(0.5).alias("half"), at(0.75).alias("most"), F.first("all").alias("n"))
-        return found.withColumn("cut", F.col("half") + SPREAD * (F.col("most") - F.col("half")) + slack[F.col("rule")])
+        wanted = F.create_map(*[F.lit(x) for pair in QUANTILE.items() for x in pair])[F.col("rule")]
+        edge = F.min(F.when(F.col("upto") >= F.col("all") * wanted, value))
+        return ranked.groupBy(*key, "rule").agg((MARGIN * edge).alias("cut"), F.first("all").alias("n"))
 
     own, of_lang, of_all = cuts(["lang", "source"]), cuts(["lang"]), cuts([])
     both = own.join(of_lang.select(F.col("lang").alias("l"), F.col("rule").alias("r"), F.struct("n", "cut").alias("by_lang")),
@@ -113,7 +118,7 @@ def thresholds(rows: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """One row per input row with its counts, the fixed base rule and the adaptive verdict.
 
-    The thresholds learn from documents of ``LEAST_WORDS`` words or more of all languages and sources; NULL is a
+    The thresholds learn from documents that pass the base rule, of all languages and sources; NULL is a
     language, and a source, of its own. A NULL or empty text has no words and fails the base rule.
     Rows with NULL or repeated ids are judged like any other.
     """
@@ -122,7 +127,7 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang:
     cut = cut.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "cuts")
     # As many rows as groups; Spark broadcasts them if they are small.
     met = rows.join(cut, rows["lang"].eqNullSafe(F.col("_lang")) & rows["source"].eqNullSafe(F.col("_source")), "left")
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    failed = _base_failed()
     within = F.lit(True)
     for rule, rate in _rates().items():
         within = within & F.coalesce(rate <= F.col("cuts")[rule], F.lit(True))

@@ -265,6 +265,15 @@ def test_the_field_adds_rewritten_spans(spark, docs, edges, none):
     assert pii.scan(edges, field).count() == len(EDGES) and pii.detect(none).count() == 0
 
 
+def test_the_field_sees_texts_without_digits(spark):
+    field = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for address in ("jane.roe (at) example.com", "jane.roe at mail.example.com"):
+        text = f"Please write to {address} about the house."
+        assert [(pii.KINDS[k % 4], text[s:e]) for s, k, e in pii.find(text, field)[1]] == [("email", address)]
+    assert not list(pii.runs("We met at home. Then we left at noon."))
+    assert not list(pii.runs("a at " + "-" * 100_000))
+
+
 # 7 rules
 
 
@@ -286,6 +295,24 @@ def test_rule_counts_equal_brute_force(docs, edges, none):
     assert rules.judge(none).count() == 0
 
 
+def test_rule_cuts_move_with_the_group(spark):
+    def text(i, lines, again):
+        own = [" ".join(f"w{i}x{k}y{j}" for j in range(5)) for k in range(lines)]
+        return "\n".join(own + own[: 2 * again : 2])
+
+    # 'a' never repeats a line, 'b' repeats 2 of 12 everywhere; the planted documents repeat 1 of 11.
+    rows = [(i, text(i, 10, 0), "en", "a") for i in range(300)] + [(1000 + i, text(1000 + i, 10, 2), "en", "b") for i in range(300)]
+    rows += [(5000, text(5000, 10, 1), "en", "a"), (5001, text(5001, 10, 1), "en", "b")]
+    frame = docs_of(spark, rows)
+    found = {r.doc_id: r for r in rules.judge(frame).collect()}
+    assert not found[5000].base_failed and not found[5000].kept
+    assert not found[5001].base_failed and found[5001].kept
+    assert all(found[i].kept for i in (*range(300), *range(1000, 1300)))
+    measured = rules.measured(frame, "doc_id", "text", "lang", "source")
+    cut = {(r.source, r.rule): r.cut for r in rules.thresholds(measured).collect()}
+    assert cut["a", "dup_lines"] == 0 and 0.18 < cut["b", "dup_lines"] < 0.24
+
+
 # 8 near-duplicate documents
 
 
