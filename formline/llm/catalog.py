@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from formline.llm import language, mixing, packing, pii, quality, rules, secrets, setsketch, toxicity, vectors
+from formline.llm import alignment, language, mixing, packing, pii, quality, rules, search, secrets, setsketch, toxicity, tries, vectors
 from formline.llm.common import documents, table
 from formline.llm.registry import QUERIES, SQL, query
 
@@ -57,3 +57,18 @@ def op5(spark, sf_dir):
 @query("op6_semi_markov_personal_data")
 def op6(spark, sf_dir):
     return pii.detect(documents(spark, sf_dir))
+
+
+@query("op11_exact_text_alignment")
+def op11(spark, sf_dir):
+    return alignment.align_documents(documents(spark, sf_dir))
+
+
+@query("op12_ball_tree_search")
+def op12(spark, sf_dir):
+    return search.top_products(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_conversation_trie")
+def op13(spark, sf_dir):
+    return tries.prefix_trie(table(spark, sf_dir, "conversations"))
