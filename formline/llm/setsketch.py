@@ -23,15 +23,18 @@ from formline.llm.common import only, stored
 from formline.llm.graph import components
 
 WORDS = 5
-REGISTERS = 128
-BAND = 4
+#: 40 bands of six registers. Two sets of similarity 0.75 and equal size share a register with probability
+#: 0.749 and so a band with 0.9996; unrelated ones share a register with 0.011 and a band with 8e-11, so that
+#: chance meetings stay rare against real ones in tables of billions of texts.
+REGISTERS = 240
+BAND = 6
 BASE = 1.05
 RATE = 20.0
 TOP_LEVEL = 1022
 #: Links need 100 * intersection >= 75 * union.
 PERCENT = 75
 #: Pairs whose estimated similarity is lower aren't compared: five standard errors below the limit.
-PLAUSIBLE = 0.55
+PLAUSIBLE = 0.6
 #: Members of a bucket that meet in one task are split into blocks of about this many.
 BLOCK = 512
 #: Small buckets are handed to Python together, about this many rows at a time.
@@ -98,6 +101,19 @@ def similarity(above: np.ndarray, below: np.ndarray, left: np.ndarray, right: np
     return _GRID[score.argmax(axis=1)]
 
 
+def buckets(levels: np.ndarray) -> np.ndarray:
+    """The bucket of each band of rows of registers: six levels of ten bits in one number."""
+    places = np.int64(1) << (10 * np.arange(BAND, dtype=np.int64))
+    return (levels.reshape(len(levels), -1, BAND) * places).sum(2)
+
+
+def banded(sketch: DataFrame) -> DataFrame:
+    """``(key, band, bucket)`` for every band; the bucket is a hash of the band's bytes."""
+    rows = sketch.select("key", "registers", F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1))).alias("band"))
+    part = F.substring(F.col("registers"), F.col("band") * (2 * BAND) + 1, F.lit(2 * BAND))
+    return rows.select("key", "band", F.xxhash64(part).alias("bucket"))
+
+
 def _plausible(x: np.ndarray, y: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Of aligned rows of sketches: the pairs whose sizes and estimate leave a link possible."""
     fit = 100 * np.minimum(left, right) >= PERCENT * np.maximum(left, right)
@@ -118,7 +134,7 @@ def _linked(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def sketches(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: id, key of its words, number of shingles, registers and bucket of each band."""
+    """One row per document: id, key of its words, number of shingles, registers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -128,12 +144,9 @@ def sketches(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
                 keys.append(key)
                 sizes.append(len(hashes))
                 levels.append(registers(hashes))
-            yield pd.DataFrame({
-                "id": batch["id"], "key": keys, "n_shingles": sizes, "registers": [r.tobytes() for r in levels],
-                "buckets": [r.view(np.int64) for r in levels],
-            })
+            yield pd.DataFrame({"id": batch["id"], "key": keys, "n_shingles": sizes, "registers": [r.tobytes() for r in levels]})
 
-    schema = "id bigint, key binary, n_shingles bigint, registers binary, buckets array<bigint>"
+    schema = "id bigint, key binary, n_shingles bigint, registers binary"
     return docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text")).mapInPandas(run, schema)
 
 
@@ -176,7 +189,7 @@ def _block_links(rows: dict[str, np.ndarray], at: np.ndarray) -> Iterator[tuple[
     nodes that are joined already.
     """
     levels = rows["registers"][at]
-    bands, band, n = levels.view(np.int64), int(rows["band"][at[0]]), rows["n_shingles"][at]
+    bands, band, n = buckets(levels), int(rows["band"][at[0]]), rows["n_shingles"][at]
     label, code, parent = rows["label"][at], rows["code"][at], {}
     hashes = rows["hashes"][at]
 
@@ -266,16 +279,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     plain = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
     rows = stored(sketches(plain, "id", "text"), "sketches")
     ids, filled = rows.select("id", "key", "n_shingles"), rows.where("id is not null and n_shingles > 0")
-    sketch = stored(filled.groupBy("key").agg(*[F.first(c).alias(c) for c in ("n_shingles", "registers", "buckets")]), "distinct")
-    banded = sketch.select("key", F.posexplode("buckets").alias("band", "bucket"))
-    hubs = banded.groupBy("band", "bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
-    shared = stored(banded.join(hubs.drop("last"), ["band", "bucket"]), "buckets")
+    sketch = stored(filled.groupBy("key").agg(*[F.first(c).alias(c) for c in ("n_shingles", "registers")]), "distinct")
+    entries = banded(sketch)
+    hubs = entries.groupBy("band", "bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
+    shared = stored(entries.join(hubs.drop("last"), ["band", "bucket"]), "buckets")
 
     wanted = shared.select("key").distinct()
     of_ids = only(filled.select("id", "key"), wanted, "key").groupBy("key").agg(F.min("id").alias("id"))
     first_ids = of_ids.select("id").distinct()
     sets = shingle_sets(only(plain, first_ids, "id")).dropDuplicates(["key"])
-    sets = stored(sets.join(sketch.drop("buckets").join(wanted, "key", "left_semi"), "key"), "sets")
+    sets = stored(sets.join(sketch.join(wanted, "key", "left_semi"), "key"), "sets")
 
     first = stored(_hub_links(shared, sketch, sets), "hub-links")
     labels = stored(components(first), "labels")
