@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formline.operators import flatten, odds
+from formline.operators.columns import union_by_name
 from formline.operators.odds import BOOKMAKERS, EVENT_KEYS
 from formline.plans import jobs, star
 from formline.plans.catalog.registry import query
-from formline.schemas import BATTING_STATS, PITCHING_STATS, TABLES
+from formline.schemas import BATTING_STATS, GAME_DOCUMENT, TABLES
 from formline.scratch import new_folder
 from formline.sources import documents, tables
 from formline.sources.csv import scan_csv_prefix
 
 _AMOUNT = "CAST(floor(o_totalprice) AS BIGINT)"
 _MODULI = {
-    "home": {"hits": 11, "atbats": 31, "runs": 7, "strikeouts": 13, "baseonballs": 5, "intentionalwalks": 2},
-    "away": {"hits": 10, "atbats": 29, "runs": 6, "strikeouts": 12, "baseonballs": 4, "intentionalwalks": 3},
+    "home": {"hits": 11, "atbats": 31, "runs": 7, "strikeouts": 13, "baseonballs": 5, "intentionalwalks": 2, "homeruns": 3},
+    "away": {"hits": 10, "atbats": 29, "runs": 6, "strikeouts": 12, "baseonballs": 4, "intentionalwalks": 3, "homeruns": 4},
 }
 _NAMES = {"home": "n_name", "away": "'NATION_' || ((n_nationkey + 1) % 25)"}
 _IDS = {"home": "CAST(n_nationkey AS BIGINT)", "away": "CAST((n_nationkey + 1) % 25 AS BIGINT)"}
@@ -77,14 +79,30 @@ def flatten_games(spark, sf):
     return flatten.flatten_games(star.game_documents(spark, sf))
 
 
-@query("flatten_team_stats", _team_sql(BATTING_STATS), DOCUMENT_CTES)
+# All statistics of the documents; no table declares ``homeruns``, and the pitching tables declare two.
+ALL_STATS = (*BATTING_STATS, "homeruns")
+
+
+def _every_stat(rows: DataFrame, kind: str) -> DataFrame:
+    """The rows of a kind with all statistics typed, the undeclared ones out of ``stats_extra``."""
+    held = {n: F.try_variant_get(flatten.EXTRA, F.lit(f"$.{n}"), "int") for n in ALL_STATS if n not in rows.columns}
+    return rows.withColumns({"kind": F.lit(kind), **held}).drop(flatten.EXTRA)
+
+
+def _kinds_sql(batting: str, pitching: str) -> str:
+    return f"SELECT 'batting' AS kind, * FROM ({batting}) UNION ALL SELECT 'pitching' AS kind, * FROM ({pitching})"
+
+
+@query("flatten_team_stats", _kinds_sql(_team_sql(ALL_STATS), _team_sql(ALL_STATS)), DOCUMENT_CTES)
 def flatten_team_stats(spark, sf):
-    return flatten.flatten_team_stats(star.game_documents(spark, sf), "batting")
+    docs = star.game_documents(spark, sf)
+    return union_by_name([_every_stat(flatten.flatten_team_stats(docs, k, extra=True), k) for k in flatten.KINDS])
 
 
-@query("flatten_player_stats", _player_sql(PITCHING_STATS, True), DOCUMENT_CTES)
+@query("flatten_player_stats", _kinds_sql(_player_sql(ALL_STATS, False), _player_sql(ALL_STATS, True)), DOCUMENT_CTES)
 def flatten_player_stats(spark, sf):
-    return flatten.flatten_player_stats(star.game_documents(spark, sf), "pitching")
+    docs = star.game_documents(spark, sf)
+    return union_by_name([_every_stat(flatten.flatten_player_stats(docs, k, extra=True), k) for k in flatten.KINDS])
 
 
 @query("filter_non_empty_stats", _player_sql(BATTING_STATS, False), DOCUMENT_CTES)
@@ -94,14 +112,17 @@ def filter_non_empty_stats(spark, sf):
 
 @query(
     "filter_position",
-    "SELECT o_orderkey AS gamepk, 'ID' || (o_custkey * 10 + i) AS player_key FROM clubs CROSS JOIN (VALUES (0), (2)) p(i)",
+    "SELECT o_orderkey AS gamepk, side, 'ID' || (o_custkey * 10 + i) AS player_key FROM clubs CROSS JOIN (VALUES (0), (2)) p(i) "
+    "CROSS JOIN (VALUES ('home'), ('away')) s(side)",
     DOCUMENT_CTES,
 )
 def filter_position(spark, sf):
-    players = star.game_documents(spark, sf).select(
-        "gamepk", F.explode("livedata.boxscore.teams.home.players").alias("player_key", "player")
-    )
-    return flatten.filter_position(players, "player.position.code", "1").select("gamepk", "player_key")
+    sides = [
+        F.struct(F.lit(side).alias("side"), F.col(f"livedata.boxscore.teams.{side}.players").alias("players")) for side in ("home", "away")
+    ]
+    players = star.game_documents(spark, sf).select("gamepk", F.inline(F.array(*sides)))
+    players = players.select("gamepk", "side", F.explode("players").alias("player_key", "player"))
+    return flatten.filter_position(players, "player.position.code", "1").select("gamepk", "side", "player_key")
 
 
 @query("append_game_columns", f"SELECT c_mktsegment AS venue, {_GAME_SQL} FROM clubs", DOCUMENT_CTES)
@@ -117,18 +138,29 @@ def scan_game_json(spark, sf):
     return flatten.flatten_games(documents.scan_game_json(spark, path))
 
 
+_BROKEN_SQL = "'{\"gamepk\": ' || o_orderkey || ', \"gamedata\": [oops'"
+
+
+def _with_broken(spark, sf, documents_json: DataFrame, path: str) -> str:
+    """Documents as lines, and one that breaks off for each order of a status."""
+    broken = F.concat(F.lit('{"gamepk": '), "o_orderkey", F.lit(', "gamedata": [oops'))
+    cut = star.table(spark, sf, "orders").where("o_orderstatus = 'P'").select(broken.alias("value"))
+    documents_json.select(F.to_json(F.struct("*")).alias("value")).unionAll(cut).write.text(path)
+    return path
+
+
 @query(
     "bad_record_quarantine",
-    "SELECT '{\"gamepk\": ' || o_orderkey || ', \"gamedata\": [oops' AS record FROM orders WHERE o_orderstatus = 'P'",
+    f"SELECT 'rejected' AS status, CAST(NULL AS BIGINT) AS gamepk, {_BROKEN_SQL} AS record FROM orders WHERE o_orderstatus = 'P' "
+    "UNION ALL SELECT 'read', o_orderkey, NULL FROM clubs",
+    DOCUMENT_CTES,
 )
 def bad_record_quarantine(spark, sf):
-    """Orders of one status are cut off mid-document; the others stay readable."""
-    path = new_folder(spark, "quarantine")
-    broken = F.concat(F.lit('{"gamepk": '), "o_orderkey", F.lit(', "gamedata": [oops'))
-    whole = F.concat(F.lit('{"gamepk": '), "o_orderkey", F.lit("}"))
-    lines = star.table(spark, sf, "orders").select(F.when(F.col("o_orderstatus") == "P", broken).otherwise(whole).alias("value"))
-    lines.write.text(path)
-    return documents.bad_record_quarantine(spark, path)
+    """Both sides of one stored parse: documents that could be read and lines that could not."""
+    path = _with_broken(spark, sf, star.game_documents(spark, sf), new_folder(spark, "quarantine"))
+    parsed = documents.parse_once(spark, path, GAME_DOCUMENT)
+    read = parsed.documents.select(F.lit("read").alias("status"), "gamepk", F.lit(None).cast("string").alias("record"))
+    return read.unionAll(parsed.rejects.select(F.lit("rejected"), F.lit(None).cast("bigint"), "record"))
 
 
 def _odds_rows(spark, sf):
@@ -250,7 +282,7 @@ def daily_game_number(spark, sf):
 @query("format_odds", "SELECT * FROM formatted", ODDS_CTES)
 def format_odds(spark, sf):
     path = new_folder(spark, "odds-job")
-    star.odds_events(spark, sf).select(F.array("data").alias("data")).write.json(path)
+    _with_broken(spark, sf, star.odds_events(spark, sf).select(F.array("data").alias("data")), path)
     return _naive_times(jobs.format_odds(spark, path, zones=star.team_zones(spark, sf), order=ORDER))
 
 
@@ -260,29 +292,58 @@ _PERIOD = ("1996-01-01", "1998-12-31")
 _IN_PERIOD = f"BETWEEN DATE '{_PERIOD[0]}' AND DATE '{_PERIOD[1]}'"
 
 
-def _flattened(spark, sf) -> str:
-    source, output = new_folder(spark, "landing"), new_folder(spark, "flat")
-    star.game_documents(spark, sf).write.json(source)
-    jobs.flatten(spark, source, output, *_PERIOD)
+_EVER = ("0001-01-01", "9999-12-31")
+
+
+def _flattened(spark, sf, begin: str, end: str) -> str:
+    source = _with_broken(spark, sf, star.game_documents(spark, sf), new_folder(spark, "landing"))
+    output = new_folder(spark, "flat")
+    jobs.flatten(spark, source, output, begin, end)
     return output
 
 
 @query("flatten", f"SELECT * FROM document_games WHERE OfficialDate {_IN_PERIOD}", DOCUMENT_CTES)
 def flatten_job(spark, sf):
     """Documents to CSV tables of a period, read back through the prefix scan."""
-    return scan_csv_prefix(spark, f"{_flattened(spark, sf)}/games_history", TABLES["games_history"])
+    return scan_csv_prefix(spark, f"{_flattened(spark, sf, *_PERIOD)}/games_history", TABLES["games_history"])
+
+
+def _snapshot_rows(spark, target: str, names) -> DataFrame:
+    """Some snapshot tables below each other, every statistic typed."""
+    out = []
+    for name in names:
+        rows = tables.scan_parquet(spark, f"{target}/{name}")
+        if flatten.EXTRA in rows.columns:
+            rows = _every_stat(rows, name.split("_")[1])
+        out.append(rows.withColumn("table_name", F.lit(name)))
+    return union_by_name(out)
+
+
+_TABLE_SQL = "SELECT '{0}' AS table_name, * FROM ({1})"
 
 
-@query("snapshot_tables", f"SELECT * FROM document_games WHERE OfficialDate {_IN_PERIOD}", DOCUMENT_CTES)
+@query(
+    "snapshot_tables",
+    " UNION ALL ".join(_TABLE_SQL.format(f"team_{k}", f"SELECT '{k}' AS kind, * FROM ({_team_sql(ALL_STATS)})") for k in flatten.KINDS),
+    DOCUMENT_CTES,
+)
 def snapshot_tables(spark, sf):
+    """The teams' tables of all seasons, out of the CSV of the flatten job."""
     target = new_folder(spark, "parquet")
-    tables.snapshot_tables(spark, _flattened(spark, sf), target, ["games_history"])
-    return tables.scan_parquet(spark, f"{target}/games_history")
+    names = ["team_batting", "team_pitching"]
+    tables.snapshot_tables(spark, _flattened(spark, sf, *_EVER), target, names)
+    return _snapshot_rows(spark, target, names)
 
 
-@query("snapshot", f"SELECT * FROM ({_player_sql(BATTING_STATS, False)}) WHERE officialdate {_IN_PERIOD}", DOCUMENT_CTES)
+@query(
+    "snapshot",
+    " UNION ALL ".join(
+        _TABLE_SQL.format(f"individual_{k}", f"SELECT '{k}' AS kind, * FROM ({_player_sql(ALL_STATS, k == 'pitching')})") for k in flatten.KINDS
+    ),
+    DOCUMENT_CTES,
+)
 def snapshot(spark, sf):
-    """All five tables are written; the players' batting is returned."""
+    """All five tables are written; the players' are returned."""
     target = new_folder(spark, "parquet")
-    jobs.snapshot(spark, _flattened(spark, sf), target)
-    return tables.scan_parquet(spark, f"{target}/individual_batting")
+    jobs.snapshot(spark, _flattened(spark, sf, *_EVER), target)
+    return _snapshot_rows(spark, target, ["individual_batting", "individual_pitching"])

@@ -17,12 +17,13 @@ from formline.functions.scalars import batch_stamp
 from formline.functions.zones import zone_table
 from formline.operators import metrics, model, odds
 from formline.operators.datasets import HOME_WIN_FEATURES, LABEL, dataset_home_win, season_split
-from formline.operators.flatten import flatten_all, flatten_games
+from formline.operators.flatten import flatten_all, flatten_games, stat_names
 from formline.operators.form import latest_rows
 from formline.operators.matchup import assemble_matchup
+from formline.schemas import GAME_DOCUMENT, ODDS_SNAPSHOT
 from formline.scratch import new_folder
-from formline.sources.documents import scan_game_json, scan_odds_json
-from formline.sources.tables import scan_parquet, sink_csv_period, sink_parquet, snapshot_tables
+from formline.sources.documents import odds_of, parse_once
+from formline.sources.tables import period_name, scan_parquet, sink_csv_period, sink_parquet, snapshot_tables
 
 Tables = Mapping[str, DataFrame]
 FEATURE_TABLES = ("games_history", "team_batting", "individual_pitching")
@@ -39,19 +40,37 @@ def snapshot(spark: SparkSession, source: str, target: str) -> list[str]:
     return snapshot_tables(spark, source, target)
 
 
+def sink_rejects(rejects: DataFrame, output: str, table: str, begin: str, end: str | None = None) -> str:
+    """The lines of a period that could not be read; writing a period again replaces them."""
+    path = f"{output.rstrip('/')}/rejects/{table}_{period_name(begin, end)}"
+    sink_parquet(rejects, path)
+    return path
+
+
 def flatten(
     spark: SparkSession, documents: str, output: str, begin: str, end: str, scheduled: str | None = None,
     scheduled_date: str | None = None,
-) -> None:
-    """Game documents to the CSV tables of a period; scheduled games to their own table."""
-    docs = scan_game_json(spark, documents)
+) -> dict[str, dict[str, int]]:
+    """Game documents to the CSV tables of a period; scheduled games to their own table.
+
+    Documents are parsed once and stored. Every statistic that occurs in the period becomes a column. Lines that
+    aren't documents go to ``<output>/rejects/<table>_<period>``; the numbers of lines read and rejected are returned.
+    """
+    parsed = parse_once(spark, documents, GAME_DOCUMENT, "games")
+    counts = {"games_history": parsed.counts}
+    sink_rejects(parsed.rejects, output, "games_history", begin, end)
+    docs = parsed.documents
     played = docs.where(F.col("gamedata.datetime.officialdate").between(F.lit(begin).cast("date"), F.lit(end).cast("date")))
-    for table, rows in flatten_all(played).items():
+    for table, rows in flatten_all(played, stat_names(played)).items():
         sink_csv_period(rows, output, table, begin, end)
     if scheduled:
-        games = flatten_games(scan_game_json(spark, scheduled))
+        parsed = parse_once(spark, scheduled, GAME_DOCUMENT, "scheduled")
+        counts["scheduled"] = parsed.counts
+        sink_rejects(parsed.rejects, output, "scheduled", scheduled_date)
+        games = flatten_games(parsed.documents)
         games = games.where(F.col("OfficialDate") == F.lit(scheduled_date).cast("date"))
         sink_csv_period(games, output, "scheduled", scheduled_date)
+    return counts
 
 
 def _before(df: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -201,8 +220,14 @@ def format_odds(
     spark: SparkSession, snapshots: str, output: str | None = None, first: str | None = None, last: str | None = None,
     zones: DataFrame | None = None, mode: str = "overwrite", order: Sequence[str] = odds.PRICE_ORDER,
 ) -> DataFrame:
-    """Odds snapshots to one row per event: prices of both sides by bookmaker, local start, game number."""
-    rows = odds.unpivot_bookmakers(odds.parse_odds_event(scan_odds_json(spark, snapshots)))
+    """Odds snapshots to one row per event: prices of both sides by bookmaker, local start, game number.
+
+    Snapshots are parsed once and stored. Lines that aren't snapshots go to ``<output>/rejects/odds``.
+    """
+    parsed = parse_once(spark, snapshots, ODDS_SNAPSHOT, "odds")
+    if output:
+        sink_parquet(parsed.rejects, f"{output.rstrip('/')}/rejects/odds", mode)
+    rows = odds.unpivot_bookmakers(odds.parse_odds_event(odds_of(parsed.documents)))
     if first:
         rows = rows.where(F.col("commence_time") >= first)
     if last:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from formline.operators.columns import drop_index_columns
 from formline.schemas import TABLES
-from formline.sources.csv import scan_csv_prefix
+from formline.sources.csv import REST, scan_csv_prefix
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -47,14 +47,17 @@ def sink_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by
     writer.parquet(path)
 
 
+def period_name(begin: str, end: str | None = None) -> str:
+    return "_".join(d.replace("-", "") for d in (begin, end) if d)
+
+
 def sink_csv_period(df: DataFrame, folder: str, table: str, begin: str, end: str | None = None) -> str:
     """Write one period's rows as ``<folder>/<table>/<table>_<begin>[_<end>]``, dates without dashes.
 
     The name is the period's, so writing it again replaces it, and ``scan_csv_prefix`` on
     ``<folder>/<table>`` reads all periods.
     """
-    period = "_".join(d.replace("-", "") for d in (begin, end) if d)
-    path = f"{folder.rstrip('/')}/{table}/{table}_{period}"
+    path = f"{folder.rstrip('/')}/{table}/{table}_{period_name(begin, end)}"
     df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
@@ -67,12 +70,20 @@ def sink_warehouse_table(df: DataFrame, database: str, table: str, mode: str = "
     return name
 
 
+def season_column(df: DataFrame) -> str:
+    """The season's column as the table spells it."""
+    return next(c for c in df.columns if c.lower() == "season")
+
+
 def snapshot_tables(spark: SparkSession, source: str, target: str, tables: Sequence[str] | None = None) -> list[str]:
-    """CSV folders to Parquet with declared types; stray index columns are dropped by name."""
+    """CSV folders to Parquet by season, with declared types and every undeclared statistic in ``stats_extra``.
+
+    Stray index columns are dropped by name. A run replaces the seasons it has rows of and leaves the others.
+    """
     done = []
     for table in tables or [t for t in TABLES if t != "scheduled"]:
-        rows = scan_csv_prefix(spark, f"{source.rstrip('/')}/{table}", TABLES[table])
+        rows = drop_index_columns(scan_csv_prefix(spark, f"{source.rstrip('/')}/{table}", TABLES[table], REST.get(table)))
         path = f"{target.rstrip('/')}/{table}"
-        sink_parquet(drop_index_columns(rows), path)
+        sink_parquet(rows, path, partition_by=[season_column(rows)])
         done.append(path)
     return done

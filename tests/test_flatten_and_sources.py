@@ -7,6 +7,7 @@ from documents import season
 from pyspark.sql import functions as F
 
 from formline.operators import columns, flatten
+from formline.plans import jobs
 from formline.schemas import GAME_DOCUMENT, GAMES, TEAM_BATTING, struct
 from formline.sources import csv as csv_source
 from formline.sources import documents, tables
@@ -47,7 +48,7 @@ def test_team_rows_are_two_per_game(docs, games):
     flat = flatten.flatten_team_stats(docs, "batting")
     assert flat.columns == struct(TEAM_BATTING).names and flat.count() == 2 * len(games)
     extra = flatten.flatten_team_stats(docs, "batting", extra=True).where("detailedstate = 'Final'").first()
-    assert set(extra.stats_extra) == {"homeruns"}
+    assert set(extra.stats_extra.toPython()) == {"homeruns"}
 
 
 def test_player_rows_have_statistics_and_pitching_needs_the_position(docs, games):
@@ -73,6 +74,85 @@ def test_unreadable_lines_are_set_aside(spark, games, tmp_path):
     assert rows_of(documents.bad_record_quarantine(spark, path)) == sorted([(b,) for b in bad], key=repr)
 
 
+def test_one_parse_gives_documents_rejects_and_counts(spark, games, tmp_path):
+    bad = ['{"gamepk": 1, "gamedata": ', '{"gamepk": "x"}', "[1, 2]", "null and void"]
+    path = write_lines(tmp_path / "mixed", games, [*bad, "", "   "])
+    parsed = documents.parse_once(spark, path, GAME_DOCUMENT)
+    assert parsed.counts == {"read": len(games), "rejected": len(bad)}
+    assert sorted(r.record for r in parsed.rejects.collect()) == sorted(bad)
+    assert all(r.file.endswith("part-0.json") for r in parsed.rejects.collect())
+    assert rows_of(flatten.flatten_games(parsed.documents)) == rows_of(flatten.flatten_games(documents.scan_game_json(spark, path)))
+    # Tables read columns of the stored parse: no text, one status, no parser.
+    plan = flatten.flatten_games(parsed.documents)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan text" not in plan and "from_json" not in plan
+    assert "PartitionFilters: [isnotnull(_status" in plan and "players" not in plan.split("ReadSchema")[1]
+
+
+def test_parse_of_nothing_and_of_broken_lines_alone(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.json").write_text("\n\n")
+    parsed = documents.parse_once(spark, str(tmp_path / "none"), GAME_DOCUMENT)
+    assert parsed.counts == {"read": 0, "rejected": 0} and parsed.documents.count() == parsed.rejects.count() == 0
+    (tmp_path / "none" / "b.json").write_text("{oops\n")
+    parsed = documents.parse_once(spark, str(tmp_path / "none"), GAME_DOCUMENT)
+    assert parsed.documents.count() == 0 and parsed.rejects.count() == 1
+
+
+def test_every_statistic_is_named_and_reaches_the_parquet_tables(spark, tmp_path):
+    """Statistics of any name and form: numbers, text, one of a single player, one that has a table column's name."""
+    games = season(2023, 3, 2, 10) + season(2024, 3, 2, 50)
+    box = games[0]["livedata"]["boxscore"]["teams"]
+    box["home"]["teamstats"]["pitching"] |= {"era": "3.71", "ID": 9}
+    next(iter(box["away"]["players"].values()))["stats"]["batting"] |= {"note": 'he said "no", twice', "ops": 0.75}
+    docs = documents.scan_game_json(spark, write_lines(tmp_path / "in", games))
+    names = flatten.stat_names(docs)
+    assert set(names["pitching"]) >= {"homeruns", "era", "ID"} and set(names["batting"]) >= {"homeruns", "note", "ops"}
+    counts = jobs.flatten(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2023-01-01", "2024-12-31")
+    assert counts == {"games_history": {"read": len(games), "rejected": 0}}
+    jobs.snapshot(spark, str(tmp_path / "out"), str(tmp_path / "lake"))
+    for table in csv_source.REST:
+        kind, whole = table.split("_")[1], flatten.flatten_all(docs)[table]
+        stored = tables.scan_parquet(spark, str(tmp_path / "lake" / table))
+        assert set(stored.columns) == set(whole.columns) and stored.schema[flatten.EXTRA].dataType.simpleString() == "variant"
+        typed = [c for c in whole.columns if c != flatten.EXTRA]
+        runs = F.try_variant_get(flatten.EXTRA, F.lit("$.homeruns"), "int").alias("homeruns")
+        assert rows_of(stored.select(*typed, runs)) == rows_of(whole.select(*typed, runs))
+        rest = [r[0].toPython() for r in stored.where("stats_extra is not null").select(flatten.EXTRA).collect()]
+        if table == "team_pitching":
+            assert [(r["era"], r["stat_ID"]) for r in rest if "era" in r] == [("3.71", "9")]
+        if table == "individual_batting":
+            assert [(r["note"], r["ops"]) for r in rest if "note" in r] == [('he said "no", twice', "0.75")]
+        assert kind in names
+
+
+def test_more_names_than_a_vocabulary_has_are_an_error(spark, games, tmp_path, monkeypatch):
+    monkeypatch.setattr(flatten, "MAX_NAMES", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        flatten.stat_names(documents.scan_game_json(spark, write_lines(tmp_path / "in", games)))
+
+
+def test_snapshots_are_stored_by_season_and_filters_reach_the_partitions(spark, tmp_path):
+    games = season(2023, 3, 2, 10) + season(2024, 3, 2, 50)
+    jobs.flatten(spark, write_lines(tmp_path / "in", games), str(tmp_path / "out"), "2023-01-01", "2024-12-31")
+    for _ in range(2):  # a second run replaces
+        jobs.snapshot(spark, str(tmp_path / "out"), str(tmp_path / "lake"))
+    assert sorted(p.name for p in (tmp_path / "lake" / "games_history").iterdir() if "=" in p.name) == ["Season=2023", "Season=2024"]
+    rows = jobs.build_training_features(spark, str(tmp_path / "lake"), "2024-04-02", "2024-12-31")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString() + rows._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans and all("PartitionFilters: [isnotnull(" in line and "2024" in line for line in scans)
+
+
+def test_lines_a_job_cannot_read_are_kept_beside_its_tables(spark, games, tmp_path):
+    path = write_lines(tmp_path / "in", games, ["{oops", "also not"])
+    for _ in range(2):
+        counts = jobs.flatten(spark, path, str(tmp_path / "out"), "2024-01-01", "2024-12-31", path, "2024-04-02")
+    assert counts == {t: {"read": len(games), "rejected": 2} for t in ("games_history", "scheduled")}
+    for table in ("games_history_20240101_20241231", "scheduled_20240402"):
+        kept = tables.scan_parquet(spark, str(tmp_path / "out" / "rejects" / table))
+        assert sorted(r.record for r in kept.collect()) == ["also not", "{oops"]
+
+
 def test_csv_prefix_aligns_by_name_and_drops_index_columns(spark, tmp_path):
     (tmp_path / "x" / "deep").mkdir(parents=True)
     (tmp_path / "x" / "a.csv").write_text(",Unnamed: 0,b,a\n0,0,1,2\n")
@@ -82,6 +162,9 @@ def test_csv_prefix_aligns_by_name_and_drops_index_columns(spark, tmp_path):
     (tmp_path / "x" / "note.txt").write_text("a,b\n9,9\n")
     got = csv_source.scan_csv_prefix(spark, str(tmp_path / "x"), "a int, b int, c string")
     assert rows_of(got, ["a", "b", "c"]) == [(2, 1, None), (3, 4, "five, six"), (7, 8, "nine")]
+    whole = csv_source.scan_csv_prefix(spark, str(tmp_path / "x"), "a int, b int", rest="more")
+    more = [(r.a, r.b, r.more.toPython() if r.more else None) for r in whole.collect()]
+    assert sorted(more) == [(2, 1, None), (3, 4, {"c": "five, six"}), (7, 8, {"c": "nine"})]
     free = csv_source.scan_csv_prefix(spark, str(tmp_path / "x"))
     assert rows_of(free, ["a", "b"]) == [(2, 1), (3, 4), (7, 8)]
 
@@ -100,7 +183,7 @@ def test_year_category_tree_ignores_its_own_output(spark, docs, tmp_path):
         part.to_csv(folder / "part.csv")
     for _ in range(2):
         tree = csv_source.scan_year_category_tree(spark, str(tmp_path))
-        assert rows_of(tree["team_batting"]) == rows_of(rows)
+        assert rows_of(tree["team_batting"], rows.columns) == rows_of(rows, rows.columns)
         assert tree["mlb_games"].columns == struct(GAMES).names and tree["mlb_games"].count() == 0
         csv_source.combine_year_category_tree(spark, str(tmp_path))
 
