@@ -7,7 +7,7 @@ from conftest import rows_of
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from formline.operators import ranks
+from formline.operators import blocks, form, ranks
 from formline.operators.blocks import BLOCK, with_blocks
 
 
@@ -24,9 +24,9 @@ def skewed(spark, n=600, seed=1, spread=40):
 
 def test_blocks_follow_the_order_and_keep_all_rows(spark):
     df = skewed(spark)
-    blocks, cut = with_blocks(df, ["k"], ["v", "id"], limit=20)
-    assert cut and blocks.count() == 600
-    got = blocks.collect()
+    placed, cut = with_blocks(df, ["k"], ["v", "id"], limit=20)
+    assert cut and placed.count() == 600
+    got = placed.collect()
     sizes = {}
     for key in {r.k for r in got}:
         mine = sorted((r for r in got if r.k == key), key=lambda r: (r.v is not None, r.v or 0.0, r.id))
@@ -38,6 +38,39 @@ def test_blocks_follow_the_order_and_keep_all_rows(spark):
     assert max(sizes.values()) < 200
 
 
+def test_rows_tied_in_the_order_are_cut_by_number(spark, monkeypatch):
+    """1,000 copies of one row, 500 that differ elsewhere, ties at NULL, and ordinary rows around them."""
+    monkeypatch.setattr(blocks, "COPIES_AT_ONCE", 7)
+    rows = [("hot", 5.0, 1)] * 1000 + [("hot", 7.0, i) for i in range(500)] + [("hot", None, 3)] * 90
+    rows += [("hot", float(i % 12) + 0.5, i) for i in range(120)] + [(None, 1.0, 1)] * 300 + [("b", 1.0, 1)] * 5
+    df = spark.createDataFrame(rows, "k string, v double, id int").repartition(6)
+    placed, cut = with_blocks(df, ["k"], ["v"], limit=20)
+    assert cut and rows_of(placed.drop(BLOCK)) == rows_of(df)
+    sizes = {}
+    for r in placed.collect():
+        sizes.setdefault((r.k, r.v), {}).setdefault(r[BLOCK], []).append(r.id)
+    for (key, value), of in sizes.items():
+        assert max(map(len, of.values())) <= 20, (key, value)
+    assert len(sizes["hot", 5.0]) == 50 and len(sizes["hot", None]) == 5 and len(sizes[None, 1.0]) == 15 and len(sizes["b", 1.0]) == 1
+    # Blocks follow the order, and a block of tied rows holds no others.
+    by_value = sorted(((v is not None, v or 0.0), min(of), max(of)) for (k, v), of in sizes.items() if k == "hot")
+    for (_, _, high), (_, low, _) in zip(by_value, by_value[1:], strict=False):
+        assert high <= low
+    tied = {b for v in (5.0, 7.0, None) for b in sizes["hot", v]}
+    assert not tied & {b for (k, v), of in sizes.items() if k == "hot" and v not in (5.0, 7.0, None) for b in of}
+    assert rows_of(with_blocks(df.repartition(3), ["k"], ["v"], limit=20)[0]) == rows_of(placed)
+
+
+def test_trailing_averages_over_tied_rows_are_those_of_one_window(spark):
+    spec = form.FormSpec(entity=("k",), measures=("v",), windows=(1, 3, 7))
+    rows = [("hot", 2024, f"2024-04-{1 + i // 400:02d}", 1, float(i // 400)) for i in range(1600)]
+    rows += [("hot", 2024, "2024-04-02", 1, 9.0), ("hot", 2024, "2024-04-03", 0, 4.0), ("cold", 2024, "2024-04-01", 1, 1.0)]
+    df = spark.createDataFrame(rows, "k string, season int, officialdate string, id int, v double").repartition(4)
+    cut = form.trailing_rows(df, spec, counts=True, limit=20)
+    whole = form.trailing_rows(df, spec, counts=True, limit=1_000_000)
+    assert rows_of(cut, whole.columns) == rows_of(whole, whole.columns)
+
+
 def test_blocks_are_a_function_of_values(spark):
     df = skewed(spark)
     one = rows_of(with_blocks(df, ["k"], ["v", "id"], limit=20)[0])
@@ -46,8 +79,8 @@ def test_blocks_are_a_function_of_values(spark):
 
 
 def test_ordinary_groups_are_not_cut(spark):
-    blocks, cut = with_blocks(skewed(spark), ["k"], ["v", "id"], limit=1000)
-    assert not cut and {r[0] for r in blocks.select(BLOCK).distinct().collect()} == {0}
+    placed, cut = with_blocks(skewed(spark), ["k"], ["v", "id"], limit=1000)
+    assert not cut and {r[0] for r in placed.select(BLOCK).distinct().collect()} == {0}
 
 
 @pytest.mark.parametrize("ascending", [True, False])
