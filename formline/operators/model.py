@@ -7,11 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,11 +20,16 @@ from pyspark.sql import functions as F
 from formline.functions import scalars
 from formline.operators.datasets import HOME_WIN_FEATURES, LABEL
 from formline.operators.metrics import METRICS
+from formline.scratch import new_folder
 
 PREDICTION = "model_prediction"
 SEED = 38
 HELD_OUT = "_held_out"
 ROWS_PER_BUCKET = 10_000
+#: Rounds of the first fit of those that may stop early.
+FIRST_ROUNDS = 32
+#: Fixed value: rounds a fit that stops early may take at most.
+MOST_ROUNDS = 4_000
 
 # Ranges the search draws from.
 BINARY_RANGES = {"step": (0.01, 0.3), "depth": (3, 10), "rows": (0.6, 1.0), "columns": (0.6, 1.0)}
@@ -49,14 +55,20 @@ class TreeParams:
 
 @dataclass
 class Search:
-    """Trials in the order drawn: settings, with the rounds kept, and the metric on the validation season."""
+    """Trials in the order drawn: settings, with the rounds kept, and the metric on the validation season.
+
+    A trial that was dropped has the rounds and the metric it had then.
+    """
 
     metric: str
     trials: list[tuple[TreeParams, float]] = field(default_factory=list)
+    finished: list[int] = field(default_factory=list)
 
     @property
     def best(self) -> TreeParams:
-        return min(self.trials, key=lambda t: t[1])[0]
+        """Of the trials that were run to their least loss, or of all where none is named."""
+        of = [self.trials[i] for i in self.finished] or self.trials
+        return min(of, key=lambda t: t[1])[0]
 
 
 def kept_rounds(losses: Sequence[float], patience: int) -> int:
@@ -92,18 +104,45 @@ def fit_trees(
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     if not held_out:
         return Pipeline(stages=[assembler, _estimator(kind, params, label)]).fit(data)
-    fitting = data.where(~F.col(HELD_OUT))
-    fitted = Pipeline(stages=[assembler, _estimator(kind, params, label)]).fit(fitting)
-    held = assembler.transform(data.where(HELD_OUT))
+    fitting, held = data.where(~F.col(HELD_OUT)), assembler.transform(data.where(HELD_OUT))
     if not held.take(1):
-        return fitted
-    trees = fitted.stages[-1]
-    losses = trees.evaluateEachIteration(held) if kind == "classifier" else trees.evaluateEachIteration(held, "absolute")
-    rounds = kept_rounds(losses, params.patience)
-    # The seed is fixed: a fit of fewer rounds grows the same first trees.
-    return fitted if rounds == len(losses) else Pipeline(
-        stages=[assembler, _estimator(kind, replace(params, rounds=rounds), label)]
-    ).fit(fitting)
+        return Pipeline(stages=[assembler, _estimator(kind, params, label)]).fit(fitting)
+    # A fit of fewer rounds grows the same first trees, so the rounds tried double until patience acts: the
+    # trees grown are fewer than four times those that had to be looked at.
+    rounds = min(params.rounds, max(FIRST_ROUNDS, params.patience + 1))
+    while True:
+        fitted = Pipeline(stages=[assembler, _estimator(kind, replace(params, rounds=rounds), label)]).fit(fitting)
+        losses = round_losses(fitted, held)
+        kept = kept_rounds(losses, params.patience)
+        if rounds == params.rounds or kept + params.patience <= len(losses):
+            return truncated(fitted, kept)
+        rounds = min(params.rounds, 2 * rounds)
+
+
+def round_losses(model: PipelineModel, held: DataFrame) -> list[float]:
+    """The loss after each round on rows with assembled features."""
+    trees = model.stages[-1]
+    if isinstance(trees, GBTClassificationModel):
+        return trees.evaluateEachIteration(held)
+    return trees.evaluateEachIteration(held, "absolute")
+
+
+def truncated(model: PipelineModel, rounds: int) -> PipelineModel:
+    """The same model with its first ``rounds`` trees alone; nothing is fitted again."""
+    trees = model.stages[-1]
+    if rounds >= trees.getNumTrees:
+        return model
+    context = SparkContext._active_spark_context
+    ml, grown, weights = context._jvm.org.apache.spark.ml, trees._java_obj.trees(), trees.treeWeights
+    first = context._gateway.new_array(ml.regression.DecisionTreeRegressionModel, rounds)
+    rates = context._gateway.new_array(context._jvm.double, rounds)
+    for i in range(rounds):
+        first[i], rates[i] = grown[i], weights[i]
+    if isinstance(trees, GBTClassificationModel):
+        cut = GBTClassificationModel(ml.classification.GBTClassificationModel(trees.uid, first, rates, trees.numFeatures, 2))
+    else:
+        cut = GBTRegressionModel(ml.regression.GBTRegressionModel(trees.uid, first, rates, trees.numFeatures))
+    return PipelineModel([*model.stages[:-1], cut])
 
 
 def train_classifier(rows, features=HOME_WIN_FEATURES, label=LABEL, params=TreeParams(), held_out=None):
@@ -169,81 +208,117 @@ def hyperparam_search(
     metric: str | None = None,
     trials: int = 100,
     seed: int = SEED,
-    base: TreeParams = TreeParams(),
+    base: TreeParams = TreeParams(rounds=MOST_ROUNDS),
     parallelism: int = 2,
+    first_rounds: int = 2,
+    keep: int = 4,
 ) -> Search:
-    """Fit each draw on the train season(s), stop and evaluate on the validation season.
+    """Successive halving: draws are fitted on the train season(s) and compared on the validation season.
 
-    The rows are cached across trials; each fit and evaluation is a distributed job, and a few
-    run at a time so the cluster stays busy between their stages.
+    All draws get ``first_rounds`` rounds; the best in ``keep`` go on with ``keep`` times the rounds, until one is
+    left or a step would take more than ``FIRST_ROUNDS``. Those left run to their least loss, with patience, for
+    at most ``base.rounds`` rounds. A draw's first trees are the same in every step, so what a step has seen stays true. The
+    rows are stored once; each fit and evaluation is a distributed job, and a few run at a time so the cluster
+    stays busy between their stages.
     """
     metric = metric or ("log_loss" if kind == "classifier" else "mae")
     ranges = BINARY_RANGES if kind == "classifier" else REGRESSION_RANGES
-    rows = split_rows.where("dataset in ('train', 'validation')").select(*features, label, "dataset").persist()
-
-    def run(params: TreeParams) -> tuple[TreeParams, float]:
-        model = fit_trees(rows, features, label, params, kind, "dataset = 'validation'")
-        held = score(model, rows.where("dataset = 'validation'")).where(F.col(PREDICTION).isNotNull())
-        params = replace(params, rounds=model.stages[-1].getNumTrees)
-        return params, held.agg(METRICS[metric](label, PREDICTION).alias("m")).first().m
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            done = list(pool.map(run, draw_params(trials, ranges, seed, base)))
-    finally:
-        rows.unpersist()
-    return Search(metric, done)
+    path = new_folder(split_rows.sparkSession, "search")
+    split_rows.where("dataset in ('train', 'validation')").select(*features, label, "dataset").write.parquet(path)
+    rows = split_rows.sparkSession.read.parquet(path)
+    validation = rows.where("dataset = 'validation'")
+
+    def measured(fitted: PipelineModel, params: TreeParams) -> tuple[TreeParams, float]:
+        held = score(fitted, validation).where(F.col(PREDICTION).isNotNull())
+        loss = held.agg(METRICS[metric](label, PREDICTION).alias("m")).first().m
+        return replace(params, rounds=fitted.stages[-1].getNumTrees), loss
+
+    def step(params: TreeParams) -> tuple[TreeParams, float]:
+        return measured(fit_trees(rows.where("dataset = 'train'"), features, label, params, kind), params)
+
+    def finish(params: TreeParams) -> tuple[TreeParams, float]:
+        return measured(fit_trees(rows, features, label, params, kind, "dataset = 'validation'"), params)
+
+    def loss_of(trial: int) -> float:
+        loss = done[trial][1]
+        return float("inf") if loss is None or loss != loss else loss
+
+    draws = draw_params(trials, ranges, seed, base)
+    done: dict[int, tuple[TreeParams, float]] = {}
+    alive, rounds = list(range(trials)), first_rounds
+    with ThreadPoolExecutor(parallelism) as pool:
+        while len(alive) > 1 and rounds <= min(base.rounds, FIRST_ROUNDS):
+            done.update(zip(alive, pool.map(step, [replace(draws[i], rounds=rounds) for i in alive]), strict=True))
+            alive = sorted(alive, key=lambda i: (loss_of(i), i))[: -(-len(alive) // keep)]
+            rounds *= keep
+        done.update(zip(alive, pool.map(finish, [draws[i] for i in alive]), strict=True))
+    search = Search(metric, [done[i] for i in range(trials)])
+    search.finished = sorted(alive)
+    return search
 
 
 def trials_table(search: Search, like: DataFrame) -> DataFrame:
-    rows = [(i, p.depth, p.step, p.rows, p.columns, float(m)) for i, (p, m) in enumerate(search.trials)]
-    schema = f"trial int, max_depth int, step_size double, row_rate double, column_rate double, {search.metric} double"
+    rows = [
+        (i, p.depth, p.step, p.rows, p.columns, p.rounds, i in search.finished, float(m)) for i, (p, m) in enumerate(search.trials)
+    ]
+    schema = (
+        "trial int, max_depth int, step_size double, row_rate double, column_rate double, rounds int, finished boolean, "
+        f"{search.metric} double"
+    )
     return like.sparkSession.createDataFrame(rows, schema)
 
 
-def _with_shifted(rows: DataFrame, features: Sequence[str], seed: int) -> DataFrame:
-    """Each row's features as ``_own`` and, as ``_other``, those of another row.
+def _with_shifted(rows: DataFrame, features: Sequence[str], seed: int, repeats: int = 1) -> DataFrame:
+    """Each row's features as ``_own`` and, as ``_other``, those of another row, anew in every ``_repeat``.
 
     Rows fall into random buckets of bounded size by a seeded hash; inside a bucket, in hash
     order, every row takes the next row's features and the last takes the first's. That is a
     permutation of the table without a global sort.
     """
     buckets = max(1, -(-rows.count() // ROWS_PER_BUCKET))
-    drawn = rows.withColumn("_draw", F.xxhash64(F.lit(seed), *rows.columns))
+    drawn = rows.withColumn("_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    drawn = drawn.withColumn("_draw", F.xxhash64(F.col("_repeat") + seed, *rows.columns))
     drawn = drawn.withColumn("_bucket", F.pmod(F.xxhash64("_draw"), F.lit(buckets)))
-    ring = W.partitionBy("_bucket").orderBy("_draw")
+    ring = W.partitionBy("_repeat", "_bucket").orderBy("_draw")
     own = F.array(*[F.col(f).cast("double") for f in features])
     first = F.first("_own").over(ring.rowsBetween(W.unboundedPreceding, 0))
     return drawn.withColumn("_own", own).withColumn("_other", F.coalesce(F.lead("_own").over(ring), first))
 
 
 def feature_importance(
-    model: PipelineModel, rows: DataFrame, features: Sequence[str], label: str, seed: int = SEED
+    model: PipelineModel, rows: DataFrame, features: Sequence[str], label: str, seed: int = SEED, repeats: int = 5
 ) -> DataFrame:
-    """Split importance from the trees, and the rise of the log loss when a feature is shuffled.
+    """Split importance from the trees, and the rise of the log loss when a feature is shuffled, with its standard error.
 
-    One plan covers all features: a row is scored once as it is and once per feature with that
-    feature taken from another row, and one aggregation gives the loss of each variant.
+    One plan covers all features and repeats: a row is scored as it is and once per feature with that feature taken
+    from another row, and one aggregation gives the loss of each variant of each repeat. The rise is the mean over
+    the repeats, the error the standard deviation of that mean (NULL for one repeat).
     """
     rows = rows.na.drop(subset=[*features, label])
     names = F.array(*[F.lit(f) for f in features])
-    variants = _with_shifted(rows, features, seed).select(
-        label, "_own", "_other", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("_variant")
+    variants = _with_shifted(rows, features, seed, repeats).select(
+        label, "_own", "_other", "_repeat", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("_variant")
     )
+    # The rows as they are need one repeat.
+    variants = variants.where("_variant > 0 or _repeat = 0")
     mixed = F.transform(
         "_own", lambda own, i: F.when(i == F.col("_variant") - 1, F.get("_other", i)).otherwise(own)
     )
     trees = model.stages[-1]
-    scored = trees.transform(variants.select(label, "_variant", array_to_vector(mixed).alias("features")))
+    scored = trees.transform(variants.select(label, "_variant", "_repeat", array_to_vector(mixed).alias("features")))
     loss = METRICS["log_loss"](label, PREDICTION).alias("_loss")
-    losses = scored.withColumn(PREDICTION, vector_to_array("probability")[1]).groupBy("_variant").agg(loss)
-    # One row per feature plus the base row.
+    losses = scored.withColumn(PREDICTION, vector_to_array("probability")[1]).groupBy("_variant", "_repeat").agg(loss)
+    # One row per feature and repeat plus the base row.
     base = F.max(F.when(F.col("_variant") == 0, F.col("_loss"))).over(W.partitionBy(F.lit(0)))
     split = F.array(*[F.lit(float(v)) for v in trees.featureImportances.toArray()])
-    return losses.withColumn("_base", base).where("_variant > 0").select(
+    rises = losses.withColumn("_rise", F.col("_loss") - base).where("_variant > 0").groupBy("_variant").agg(
+        F.avg("_rise").alias("_mean"), (F.stddev_samp("_rise") / F.sqrt(F.count(F.lit(1)))).alias("_error")
+    )
+    return rises.select(
         F.get(names, F.col("_variant") - 1).alias("feature"),
         F.get(split, F.col("_variant") - 1).alias("split_importance"),
-        (F.col("_loss") - F.col("_base")).alias("log_loss_increase"),
+        F.col("_mean").alias("log_loss_increase"),
+        F.col("_error").alias("log_loss_increase_error"),
     )
 
 

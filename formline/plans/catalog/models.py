@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from formline.operators import datasets, model
+from formline.operators import datasets, metrics, model
 from formline.operators.datasets import HOME_WIN_FEATURES, LABEL
 from formline.operators.form import TEAM_FORM
 from formline.plans import jobs, star
@@ -17,8 +20,6 @@ from formline.sources.tables import scan_parquet, sink_parquet
 
 BEGIN, END = "1997-06-01", "1998-05-31"
 DAY = "1998-07-04"
-# Small fits: the procedure is what is shown.
-QUICK = model.TreeParams(depth=3, rounds=3)
 
 
 def _lake(spark, sf) -> str:
@@ -52,8 +53,24 @@ def _split(spark, sf):
     return datasets.season_split(_model_table(spark, sf), VALIDATION_SEASON, TEST_SEASON)
 
 
-def _fitted(rows):
-    return model.train_classifier(rows.where("dataset = 'train'"), params=QUICK)
+_FITTED: dict[tuple[str, str], PipelineModel] = {}
+_SEARCHED: dict[tuple[str, str], model.Search] = {}
+
+
+def _fitted(spark, sf):
+    """The home-win model at the operator's own settings, fitted once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _FITTED[key] = model.train_classifier(_split(spark, sf).where("dataset = 'train'"))
+    return _FITTED[key]
+
+
+def _searched(spark, sf):
+    """The search with all its trials, made once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SEARCHED:
+        _SEARCHED[key] = model.hyperparam_search(_split(spark, sf), HOME_WIN_FEATURES, LABEL, parallelism=4)
+    return _SEARCHED[key]
 
 
 @query(
@@ -141,7 +158,7 @@ def _follows():
 @query("train_classifier", f"{_ROWS}, TRUE AS is_probability FROM derived", FORM_CTES)
 def train_classifier(spark, sf):
     rows = _split(spark, sf)
-    return model.score(_fitted(rows), rows).select("GamePK", "season", LABEL, _is_probability())
+    return model.score(_fitted(spark, sf), rows).select("GamePK", "season", LABEL, _is_probability())
 
 
 @query(
@@ -157,7 +174,7 @@ def train_regressor(spark, sf):
         path, label = new_folder(spark, f"{side}-runs"), f"{side.capitalize()}Runs"
         sink_parquet(table, path)
         rows = scan_parquet(spark, path)
-        fitted = model.train_regressor(rows.where(F.col("season") < VALIDATION_SEASON), datasets.runs_features(side), label, QUICK)
+        fitted = model.train_regressor(rows.where(F.col("season") < VALIDATION_SEASON), datasets.runs_features(side), label)
         number = F.col(model.PREDICTION).isNotNull() & ~F.isnan(model.PREDICTION)
         parts.append(model.score(fitted, rows).select(
             F.lit(side).alias("side"), "GamePK", "season", F.col(label).alias("runs"), number.alias("is_number")
@@ -165,36 +182,48 @@ def train_regressor(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+# What the search has to do with 100 draws: 100 get two rounds, 25 eight, 7 get 32, and 2 go on to their least loss.
 @query(
     "hyperparam_search",
-    "SELECT * FROM (VALUES (0, TRUE, TRUE), (1, TRUE, TRUE)) t(trial, in_ranges, has_loss)",
+    "SELECT CAST(i AS INTEGER) AS trial, TRUE AS in_ranges, TRUE AS has_loss, 100 AS n_trials, 2 AS n_finished, TRUE AS best_is_least, "
+    f"(SELECT count(*) FROM derived WHERE Season <= {VALIDATION_SEASON}) AS n_rows FROM range(100) t(i)",
+    FORM_CTES,
 )
 def hyperparam_search(spark, sf):
-    """Two trials: whether their settings lie in the ranges of the search, and whether each has a loss."""
+    """All trials: whether their settings lie in the ranges, how many were finished, and whether the best has the least loss."""
     rows = _split(spark, sf)
-    search = model.hyperparam_search(rows, HOME_WIN_FEATURES, LABEL, trials=2, base=QUICK)
+    search = _searched(spark, sf)
     columns = {"step": "step_size", "depth": "max_depth", "rows": "row_rate", "columns": "column_rate"}
     inside = F.lit(True)
     for name, (low, high) in model.BINARY_RANGES.items():
         inside = inside & F.col(columns[name]).between(low, high)
+    every = W.partitionBy(F.lit(0))
+    chosen = dict((p, m) for p, m in search.trials)[search.best]
     return model.trials_table(search, rows).select(
-        "trial", inside.alias("in_ranges"), (F.col(search.metric) > 0).alias("has_loss")
+        "trial", inside.alias("in_ranges"), (F.col(search.metric) > 0).alias("has_loss"),
+        F.count(F.lit(1)).over(every).cast("int").alias("n_trials"), F.count_if("finished").over(every).cast("int").alias("n_finished"),
+        (F.min(search.metric).over(every) == chosen).alias("best_is_least"),
+        F.lit(rows.where("dataset in ('train', 'validation')").count()).alias("n_rows"),
     )
 
 
 @query(
     "early_stopping",
-    f"SELECT dataset, count(*) AS row_count, 8 AS rounds_allowed, TRUE AS kept_some FROM (SELECT {_SPLIT} AS dataset FROM derived) t "
-    "WHERE dataset IN ('train', 'validation') GROUP BY dataset",
+    f"SELECT dataset, count(*) AS row_count, 4000 AS rounds_allowed, TRUE AS stopped, TRUE AS at_least_loss FROM "
+    f"(SELECT {_SPLIT} AS dataset FROM derived) t WHERE dataset IN ('train', 'validation') GROUP BY dataset",
     FORM_CTES,
 )
 def early_stopping(spark, sf):
-    """Whether a season held out left at least one round of those allowed, and no more than these."""
+    """Whether patience ended the rounds long before those allowed, at the least loss that each round's loss shows."""
     rows = _split(spark, sf).where("dataset in ('train', 'validation')")
-    params = model.TreeParams(depth=3, rounds=8, step=0.5)
+    params = model.TreeParams(step=0.3, rounds=model.MOST_ROUNDS)
     fitted = model.train_classifier(rows, params=params, held_out="dataset = 'validation'")
+    kept = fitted.stages[-1].getNumTrees
+    longer = model.train_classifier(rows.where("dataset = 'train'"), params=replace(params, rounds=kept + params.patience))
+    losses = model.round_losses(longer, longer.stages[0].transform(rows.where("dataset = 'validation'")))
     return rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("row_count")).withColumns({
-        "rounds_allowed": F.lit(params.rounds), "kept_some": F.lit(1 <= fitted.stages[-1].getNumTrees <= params.rounds),
+        "rounds_allowed": F.lit(params.rounds), "stopped": F.lit(kept < params.rounds),
+        "at_least_loss": F.lit(min(range(len(losses)), key=losses.__getitem__) + 1 == kept),
     })
 
 
@@ -205,31 +234,39 @@ def early_stopping(spark, sf):
 )
 def score_splits(spark, sf):
     rows = _split(spark, sf)
-    return model.score_splits(_fitted(rows), rows).select("GamePK", "season", "dataset", LABEL, _is_probability())
+    return model.score_splits(_fitted(spark, sf), rows).select("GamePK", "season", "dataset", LABEL, _is_probability())
 
 
 @query("score_games", f"SELECT GamePK, Season AS season, {_FOLLOWS_SQL} FROM derived WHERE Season > {TEST_SEASON}", FORM_CTES)
 def score_games(spark, sf):
     rows = _split(spark, sf)
     games = rows.where("dataset is null").drop("dataset")
-    return model.score_games(_fitted(rows), games).select("GamePK", "season", *_follows())
+    return model.score_games(_fitted(spark, sf), games).select("GamePK", "season", *_follows())
 
 
 @query(
     "feature_importance",
-    f"SELECT unnest([{', '.join(repr(f) for f in HOME_WIN_FEATURES)}]) AS feature, 1.0::DOUBLE AS split_total, TRUE AS has_loss",
+    f"SELECT unnest([{', '.join(repr(f) for f in [*HOME_WIN_FEATURES, 'planted', 'constant'])}]) AS feature, 1.0::DOUBLE AS split_total, "
+    "unnest([" + ", ".join(["NULL"] * len(HOME_WIN_FEATURES)) + ", TRUE, FALSE]) AS rises, "
+    f"(SELECT count(*) FROM derived WHERE Season < {VALIDATION_SEASON}) AS n_rows",
+    FORM_CTES,
 )
 def feature_importance(spark, sf):
-    """A row per feature; split importances sum to one."""
-    rows = _split(spark, sf).where("dataset = 'train'")
-    found = model.feature_importance(_fitted(rows), rows, HOME_WIN_FEATURES, LABEL)
+    """A row per feature; beside those of the games a copy of the label, whose shuffling must hurt, and a constant, whose can't."""
+    rows = _split(spark, sf).where("dataset = 'train'").withColumns({"planted": F.col(LABEL).cast("double"), "constant": F.lit(1.0)})
+    features = [*HOME_WIN_FEATURES, "planted", "constant"]
+    fitted = model.train_classifier(rows, features, LABEL, model.TreeParams(depth=3, rounds=10))
+    found = model.feature_importance(fitted, rows, features, LABEL)
     total = F.round(F.sum("split_importance").over(W.partitionBy(F.lit(0))), 6)
-    return found.select("feature", total.alias("split_total"), F.col("log_loss_increase").isNotNull().alias("has_loss"))
+    clear = F.col("log_loss_increase") > 5 * F.col("log_loss_increase_error")
+    zero = (F.col("log_loss_increase") == 0) & (F.col("log_loss_increase_error") == 0)
+    rises = F.when(F.col("feature") == "planted", clear).when(F.col("feature") == "constant", ~zero)
+    return found.select("feature", total.alias("split_total"), rises.alias("rises"), F.lit(rows.count()).alias("n_rows"))
 
 
-def _saved(spark, rows) -> str:
+def _saved(spark, sf) -> str:
     path = new_folder(spark, "model")
-    model.save_model(_fitted(rows), path)
+    model.save_model(_fitted(spark, sf), path)
     return path
 
 
@@ -246,7 +283,7 @@ _SAME_SQL = "SELECT GamePK, TRUE AS is_probability, TRUE AS same_score FROM deri
 def save_model(spark, sf):
     """A stored model replaces an older one at its path; its scores are those of the model that was stored."""
     rows = _split(spark, sf)
-    path, fitted = _saved(spark, rows), _fitted(rows.where("season <> 1995"))
+    path, fitted = _saved(spark, sf), model.truncated(_fitted(spark, sf), 50)
     model.save_model(fitted, path)
     return _same_scores(fitted, model.load_model(path), rows)
 
@@ -255,16 +292,23 @@ def save_model(spark, sf):
 def load_model(spark, sf):
     rows = _split(spark, sf)
     path = new_folder(spark, "model")
-    fitted = _fitted(rows)
+    fitted = _fitted(spark, sf)
     model.save_model(fitted, path)
     return _same_scores(fitted, model.load_model(path), rows)
 
 
-@query("train")
+@query(
+    "train",
+    "SELECT season, game_month, dataset, count(*) AS games, TRUE AS tested FROM (SELECT Season AS season, game_month, "
+    f"{_SPLIT} AS dataset FROM (SELECT DISTINCT * FROM derived) d) t WHERE dataset IS NOT NULL GROUP BY season, game_month, dataset",
+    FORM_CTES,
+)
 def train(spark, sf):
-    """The whole procedure on two draws; the accuracy test by month is returned."""
-    done = jobs.train(_model_table(spark, sf), VALIDATION_SEASON, TEST_SEASON, trials=2, base=QUICK)
-    return done.accuracy_by_month
+    """The whole procedure on all draws: the accuracy test's seasons, months and games, and whether each has its figures."""
+    done = jobs.train(_model_table(spark, sf), VALIDATION_SEASON, TEST_SEASON, search=_searched(spark, sf))
+    better = F.col(metrics.BETTER) == F.when(F.col("p_value") < 0.05, "Yes").otherwise("No")
+    tested = F.coalesce(F.col("p_value").between(0, 1) & better & F.col("correct").between(0, F.col("games")), F.lit(False))
+    return done.accuracy_by_month.select("season", "game_month", "dataset", "games", tested.alias("tested"))
 
 
 @query("predict", f"SELECT GamePK, Season AS season, {_FOLLOWS_SQL} FROM derived WHERE Season > {TEST_SEASON}", FORM_CTES)
@@ -272,4 +316,4 @@ def predict(spark, sf):
     rows = _split(spark, sf)
     path = new_folder(spark, "games-to-score")
     sink_parquet(rows.where("dataset is null").drop("dataset"), path)
-    return jobs.predict(spark, path, _saved(spark, rows)).select("GamePK", "season", *_follows())
+    return jobs.predict(spark, path, _saved(spark, sf)).select("GamePK", "season", *_follows())

@@ -169,15 +169,17 @@ class Training:
 
 
 def train(
-    table: DataFrame, validation: int, test: int, trials: int = 100, base: model.TreeParams = model.TreeParams(),
-    parallelism: int = 2, features=HOME_WIN_FEATURES,
+    table: DataFrame, validation: int, test: int, trials: int = 100,
+    base: model.TreeParams = model.TreeParams(rounds=model.MOST_ROUNDS), parallelism: int = 2, features=HOME_WIN_FEATURES,
+    search: model.Search | None = None,
 ) -> Training:
     """Search on the seasons before ``validation``, refit with that season added, score all splits.
 
-    The refit runs for the rounds chosen in the search and does not look at the test season.
+    The refit runs for the rounds chosen in the search and does not look at the test season. A search
+    that was made before on the same seasons can be given.
     """
     rows = season_split(table, validation, test)
-    search = model.hyperparam_search(rows, features, LABEL, trials=trials, base=base, parallelism=parallelism)
+    search = search or model.hyperparam_search(rows, features, LABEL, trials=trials, base=base, parallelism=parallelism)
     fitted = model.train_classifier(rows.where("dataset in ('train', 'validation')"), features, LABEL, search.best)
     scored = metrics.label_predictions(model.score_splits(fitted, rows))
     summary = metrics.result_summary(scored)
@@ -186,8 +188,10 @@ def train(
 
 def train_model(
     spark: SparkSession, table: str, output: str, tag: str, mode: str = "overwrite", validation: int = 2023,
-    test: int = 2024, trials: int = 100, parallelism: int = 2, base: model.TreeParams = model.TreeParams(),
+    test: int = 2024, trials: int = 100, parallelism: int = 2,
+    base: model.TreeParams = model.TreeParams(rounds=model.MOST_ROUNDS), stamp: Column | None = None,
 ) -> Training:
+    """Train, and write scored rows, accuracy, importance and the model; ``batch`` tells runs in the tables apart."""
     done = train(scan_parquet(spark, table), validation, test, trials, base, parallelism)
     root = "/".join(filter(None, (output.rstrip("/"), tag)))
     # Scored once; the results below are those of this run, whatever earlier runs have left in the output.
@@ -196,8 +200,8 @@ def train_model(
     scored = scan_parquet(spark, scored)
     sink_parquet(scored, f"{root}/training_data_with_predictions", mode)
     summary = metrics.result_summary(scored)
-    sink_parquet(metrics.accuracy_rollup(summary), f"{root}/accuracy_55_test_result", mode)
-    sink_parquet(metrics.accuracy_ztest(summary), f"{root}/accuracy_55_test_detail", mode)
+    sink_parquet(batch_stamp(metrics.accuracy_rollup(summary), stamp), f"{root}/accuracy_55_test_result", mode)
+    sink_parquet(batch_stamp(metrics.accuracy_ztest(summary), stamp), f"{root}/accuracy_55_test_detail", mode)
     rows = season_split(scan_parquet(spark, table), validation, test).where("dataset = 'train'")
     sink_parquet(
         model.feature_importance(done.model, rows, HOME_WIN_FEATURES, LABEL), f"{root}/feature_importance", mode

@@ -70,6 +70,49 @@ def test_early_stopping_needs_fewer_rounds(rows):
     assert fitted.stages[-1].getNumTrees < 12
 
 
+def held_rows(rows, fitted):
+    return fitted.stages[0].transform(rows.where("dataset = 'validation'"))
+
+
+@pytest.mark.parametrize("kind, label", [("classifier", "HomeTeamWin"), ("regressor", "signal")])
+def test_a_truncated_model_is_the_fit_of_fewer_rounds(rows, tmp_path, kind, label):
+    train, features = rows.where("dataset = 'train'"), ["noise", "other", "game_month"]
+    few, many = (model.fit_trees(train, features, label, model.TreeParams(depth=2, rounds=n, rows=0.7), kind) for n in (3, 8))
+    cut = model.truncated(many, 3)
+    assert cut.stages[-1].getNumTrees == 3 and model.truncated(few, 5) is few
+    assert rows_of(model.score(cut, rows)) == rows_of(model.score(few, rows))
+    assert cut.stages[-1].featureImportances == few.stages[-1].featureImportances
+    model.save_model(cut, str(tmp_path / "m"))
+    assert rows_of(model.score(model.load_model(str(tmp_path / "m")), rows)) == rows_of(model.score(few, rows))
+
+
+def test_patience_stops_the_rounds_at_the_least_loss(rows, monkeypatch):
+    """4,000 rounds are allowed; three fits of 4, 8 and 16 rounds are enough, and none is repeated."""
+    monkeypatch.setattr(model, "FIRST_ROUNDS", 4)
+    fits, estimator = [], model._estimator
+    monkeypatch.setattr(model, "_estimator", lambda kind, params, label: fits.append(params.rounds) or estimator(kind, params, label))
+    params = model.TreeParams(depth=3, rounds=4000, step=0.5, patience=3)
+    both = rows.where("dataset in ('train', 'validation')")
+    fitted = model.train_classifier(both, FEATURES, params=params, held_out="dataset = 'validation'")
+    assert fits == [4 * 2**i for i in range(len(fits))] and fits[-1] < 64
+    whole = model.train_classifier(rows.where("dataset = 'train'"), FEATURES, params=model.TreeParams(depth=3, rounds=fits[-1], step=0.5))
+    losses = model.round_losses(whole, held_rows(rows, whole))
+    kept = fitted.stages[-1].getNumTrees
+    assert kept == model.kept_rounds(losses, 3) < fits[-1] and losses[kept - 1] == min(losses[: kept + 3])
+
+
+def test_halving_drops_the_worst_and_finishes_the_best(rows, monkeypatch):
+    monkeypatch.setattr(model, "FIRST_ROUNDS", 8)
+    base = model.TreeParams(rounds=12, patience=3)
+    search = model.hyperparam_search(rows, FEATURES, datasets.LABEL, trials=6, base=base, first_rounds=1, keep=3)
+    table = {r.trial: r for r in model.trials_table(search, rows).collect()}
+    assert len(table) == 6 and len(search.finished) == 1
+    # Six trials of one round, two of three, one to the end.
+    left = {i for i, r in table.items() if r.rounds == 1 and not r.finished}
+    assert len(left) >= 4 and max(r.log_loss for i, r in table.items() if i not in left) <= min(table[i].log_loss for i in left)
+    assert search.best == search.trials[search.finished[0]][0]
+
+
 def test_search_is_seeded_and_keeps_its_ranges(rows):
     draws = model.draw_params(50)
     assert draws == model.draw_params(50) and draws != model.draw_params(50, seed=1)
@@ -93,6 +136,16 @@ def test_importance_finds_the_signal(rows):
     assert set(by) == set(FEATURES)
     assert by["signal"].log_loss_increase > 0.2 and abs(by["noise"].log_loss_increase) < 0.05
     assert by["signal"].split_importance > 0.8
+    assert 0 < by["signal"].log_loss_increase_error < 0.1 * by["signal"].log_loss_increase
+
+
+def test_importance_of_a_constant_and_of_the_label_itself(rows):
+    data = rows.where("dataset = 'train'").withColumns({"constant": F.lit(1.0), "planted": F.col("HomeTeamWin").cast("double")})
+    features = ["noise", "constant", "planted"]
+    fitted = model.train_classifier(data, features, params=QUICK)
+    by = {r.feature: r for r in model.feature_importance(fitted, data, features, datasets.LABEL, repeats=3).collect()}
+    assert by["constant"].log_loss_increase == by["constant"].log_loss_increase_error == by["constant"].split_importance == 0
+    assert by["planted"].log_loss_increase > 10 * max(by["planted"].log_loss_increase_error, abs(by["noise"].log_loss_increase))
 
 
 def test_shuffling_is_a_permutation(rows):
