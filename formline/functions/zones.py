@@ -43,13 +43,26 @@ TEAM_ZONES = {
 
 
 def zone_table(spark: SparkSession, zones: dict[str, str] | None = None) -> DataFrame:
-    """The dimension as rows; a local relation, so Spark knows its size and broadcasts it."""
-    return spark.createDataFrame(sorted((zones or TEAM_ZONES).items()), "team string, tz string")
+    """The dimension as a ``VALUES`` relation: Spark knows its size when it plans, and broadcasts it."""
+    rows = sorted((TEAM_ZONES if zones is None else zones).items())
+    if not rows:
+        return spark.sql("SELECT '' AS team, '' AS tz WHERE false")
+    values = ", ".join(f"(:team{i}, :tz{i})" for i in range(len(rows)))
+    texts = {f"{name}{i}": text for i, row in enumerate(rows) for name, text in zip(("team", "tz"), row, strict=True)}
+    return spark.sql(f"SELECT * FROM VALUES {values} AS zones(team, tz)", texts)
 
 
 def dim_lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, default) -> DataFrame:
-    """Add ``value`` from a dimension with one row per key, or the default where it has none."""
-    side = dim.select(F.col(dim_key).alias("_dim_key"), F.col(value).alias("_dim_value"))
+    """Add ``value`` from a dimension with one row per key, or the default where it has none.
+
+    A key the dimension repeats is an error when the plan runs: it would multiply rows. The check is part of the
+    dimension's side, whose size Spark estimates from the dimension; a small one is broadcast and ``df`` isn't shuffled.
+    """
+    several = F.raise_error(F.concat(F.lit(f"repeated key in {dim_key}: "), F.col("_dim_key").cast("string")))
+    side = dim.where(F.col(dim_key).isNotNull()).groupBy(F.col(dim_key).alias("_dim_key")).agg(
+        F.any_value(value).alias("_dim_value"), F.count(F.lit(1)).alias("_rows")
+    )
+    side = side.select("_dim_key", F.when(F.col("_rows") > 1, several).otherwise(F.col("_dim_value")).alias("_dim_value"))
     return df.join(side, F.col(key) == F.col("_dim_key"), "left").select(
         *df.columns, F.coalesce("_dim_value", F.lit(default)).alias(value)
     )

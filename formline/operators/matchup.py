@@ -58,15 +58,16 @@ def team_form_for(
 
 
 def pitcher_form_for(
-    games: DataFrame, pitching: DataFrame, spec: FormSpec = PITCHER_FORM, ranks: bool = False, ties: str = "one",
-    days: int | None = None,
+    games: DataFrame, pitching: DataFrame, spec: FormSpec = PITCHER_FORM, ranks: bool = True, ties: str = "one",
+    days: int | None = None, pitchers: int | None = None,
 ) -> DataFrame:
     """Form of the probable pitchers on their game dates.
 
-    Ranks need every pitcher on every date and no feature uses them, so they are made on request.
+    Ranks need every pitcher on every date; without them only the pitchers asked for are looked up.
+    ``pitchers`` is an upper bound of the pitchers of a season, where known.
     """
     if ranks:
-        found = ranked_form(pitching, as_of_dates(games, spec), spec, days=days)
+        found = ranked_form(pitching, as_of_dates(games, spec), spec, league=pitchers, days=days)
     else:
         found = last_before(wanted_dates(games, spec), snapshots(pitching, spec), spec)
     if ties == "all":
@@ -82,23 +83,24 @@ def assemble_matchup(
     team_spec: FormSpec = TEAM_FORM,
     pitcher_spec: FormSpec = PITCHER_FORM,
     completed_only: bool = True,
-    pitcher_ranks: bool = False,
+    pitcher_ranks: bool = True,
     pitcher_ties: str = "one",
     league: int | None = None,
     days: int | None = None,
+    pitchers: int | None = None,
 ) -> DataFrame:
-    """Games with columns ``home_*``, ``away_*``, ``home_sp_*`` and ``away_sp_*``.
+    """Games with columns ``home_*``, ``away_*``, ``home_sp_*`` and ``away_sp_*``, ranks included.
 
     Form is taken strictly before the game's date: the second game of a day does not see the first.
-    ``league`` and ``days`` are upper bounds of teams per season and of game dates, where known.
+    ``league``, ``pitchers`` and ``days`` are upper bounds of teams and pitchers per season and of game dates, where known.
     """
     teams = team_form_for(games, team_measures(batting), team_spec, league, days)
-    pitchers = pitcher_form_for(
-        games, pitcher_measures(pitching, completed_only), pitcher_spec, pitcher_ranks, pitcher_ties, days
+    starters = pitcher_form_for(
+        games, pitcher_measures(pitching, completed_only), pitcher_spec, pitcher_ranks, pitcher_ties, days, pitchers
     )
     out = games
     for side in SIDES:
         out = join_form(out, teams, side, f"{side.lower()}_", team_spec)
     for side in SIDES:
-        out = join_form(out, pitchers, side, f"{side.lower()}_sp_", pitcher_spec)
+        out = join_form(out, starters, side, f"{side.lower()}_sp_", pitcher_spec)
     return out

@@ -83,6 +83,7 @@ FORM_CTES |= {
     "player_grid": f"SELECT e.player_name, e.season, d.as_of, s.officialdate, s.id, s.team_name, {PITCHER_COLUMNS} FROM "
     "all_dates d JOIN player_seasons e ON d.season = e.season ASOF JOIN pitcher_snaps s ON e.player_name = s.player_name "
     "AND e.season = s.season AND d.as_of > s.officialdate",
+    "player_ranked": f"SELECT *, {ranks_sql(PITCHER_FORM)} FROM player_grid",
 }
 
 
@@ -91,7 +92,7 @@ def _prefixed(alias: str, prefix: str, columns: list[str]) -> str:
 
 
 _TEAM_OUT = ["team_name", "season", "officialdate", "id", *TEAM_FORM.form_columns, *TEAM_FORM.rank_columns]
-_PITCHER_OUT = ["player_name", "season", "officialdate", "id", "team_name", *PITCHER_FORM.form_columns]
+_PITCHER_OUT = ["player_name", "season", "officialdate", "id", "team_name", *PITCHER_FORM.form_columns, *PITCHER_FORM.rank_columns]
 
 
 def matchup_sql(source: str, ranked: str) -> str:
@@ -104,8 +105,8 @@ def matchup_sql(source: str, ranked: str) -> str:
       FROM {source} g
       LEFT JOIN {ranked} h {on('h', 'HomeTeamName', 'team_name')}
       LEFT JOIN {ranked} a {on('a', 'AwayTeamName', 'team_name')}
-      LEFT JOIN pitcher_as_of hp {on('hp', 'HomeProbPitcherFullName', 'player_name')}
-      LEFT JOIN pitcher_as_of ap {on('ap', 'AwayProbPitcherFullName', 'player_name')}"""
+      LEFT JOIN player_ranked hp {on('hp', 'HomeProbPitcherFullName', 'player_name')}
+      LEFT JOIN player_ranked ap {on('ap', 'AwayProbPitcherFullName', 'player_name')}"""
 
 
 FORM_CTES["final_matchup"] = matchup_sql("final_games", "final_ranked")
@@ -269,8 +270,8 @@ def join_left_equi(spark, sf):
 @form_query(
     "join_left_pitcher",
     "SELECT g.GamePK, " + _prefixed("hp", "home_sp_", _PITCHER_OUT) + ", " + _prefixed("ap", "away_sp_", _PITCHER_OUT)
-    + " FROM games g LEFT JOIN pitcher_as_of hp ON g.HomeProbPitcherFullName = hp.player_name AND g.Season = hp.season "
-    "AND g.OfficialDate = hp.as_of LEFT JOIN pitcher_as_of ap ON g.AwayProbPitcherFullName = ap.player_name AND "
+    + " FROM games g LEFT JOIN player_ranked hp ON g.HomeProbPitcherFullName = hp.player_name AND g.Season = hp.season "
+    "AND g.OfficialDate = hp.as_of LEFT JOIN player_ranked ap ON g.AwayProbPitcherFullName = ap.player_name AND "
     "g.Season = ap.season AND g.OfficialDate = ap.as_of",
 )
 def join_left_pitcher(spark, sf):
@@ -285,14 +286,16 @@ def join_left_pitcher(spark, sf):
 @form_query("assemble_matchup", matchup_sql("games", "all_ranked"))
 def assemble_matchup(spark, sf):
     return matchup.assemble_matchup(
-        star.games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf), **_bounds(spark, sf)
+        star.games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf), **_bounds(spark, sf),
+        pitchers=star.table(spark, sf, "supplier").count(),
     )
 
 
 def final_matchup(spark, sf):
+    """What the model tables are made of: none of their features is a pitcher's rank."""
     return matchup.assemble_matchup(
         star.final_games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf),
-        **_bounds(spark, sf),
+        pitcher_ranks=False, **_bounds(spark, sf),
     )
 
 

@@ -16,7 +16,7 @@ from formline.plans.catalog.forms import FORM_CTES, final_matchup, grid_sql, mat
 from formline.plans.catalog.registry import query
 from formline.plans.star import TEST_SEASON, VALIDATION_SEASON
 from formline.scratch import new_folder
-from formline.sources.tables import scan_parquet, sink_parquet
+from formline.sources.tables import scan_parquet, season_column, sink_parquet
 
 BEGIN, END = "1997-06-01", "1998-05-31"
 DAY = "1998-07-04"
@@ -32,7 +32,7 @@ def _lake(spark, sf) -> str:
         "team_batting": star.team_batting(spark, sf),
         "individual_pitching": star.individual_pitching(spark, sf),
     }.items():
-        sink_parquet(rows, f"{path}/{name}")
+        sink_parquet(rows, f"{path}/{name}", partition_by=[season_column(rows)])
     return path
 
 
@@ -80,7 +80,7 @@ def _searched(spark, sf):
 )
 def build_training_features(spark, sf):
     return jobs.build_training_features(
-        spark, _lake(spark, sf), BEGIN, END, league=star.league_size(spark, sf)
+        spark, _lake(spark, sf), BEGIN, END, league=star.league_size(spark, sf), pitchers=star.table(spark, sf, "supplier").count()
     )
 
 
@@ -106,7 +106,7 @@ SCHEDULED_CTES |= {
 def build_prediction_features(spark, sf):
     stamp = F.lit(f"{DAY} 06:00:00").cast("timestamp_ntz")
     return jobs.build_prediction_features(
-        spark, _lake(spark, sf), DAY, stamp=stamp, league=star.league_size(spark, sf)
+        spark, _lake(spark, sf), DAY, stamp=stamp, league=star.league_size(spark, sf), pitchers=star.table(spark, sf, "supplier").count()
     )
 
 
@@ -122,7 +122,7 @@ def assemble(spark, sf):
     """Scheduled games appended by two runs; the newest batch of a game counts."""
     scheduled = star.games(spark, sf).where("DetailedState = 'Scheduled'")
     features = jobs.assemble_matchup(
-        scheduled, star.team_batting(spark, sf), star.individual_pitching(spark, sf),
+        scheduled, star.team_batting(spark, sf), star.individual_pitching(spark, sf), pitcher_ranks=False,
         league=star.league_size(spark, sf), days=star.game_days(spark, sf),
     )
     path = new_folder(spark, "scheduled-features")

@@ -102,6 +102,26 @@ def test_a_shorter_range_gives_the_same_rows(spark, lake, features):
     assert part.count() > 0 and rows_of(part) == rows_of(same)
 
 
+def test_pitcher_ranks_count_all_pitchers_of_the_date(spark, lake, features):
+    """The rank of a starter's average among the averages of all pitchers before the game's date."""
+    from formline.operators import form
+
+    tables = jobs.load_tables(spark, str(lake / "parquet"))
+    snaps = form.snapshots(form.pitcher_measures(tables["individual_pitching"]), form.PITCHER_FORM).collect()
+    checked = 0
+    for g in features.where("OfficialDate between '2023-04-20' and '2023-04-23'").collect():
+        newest = {}
+        for s in sorted((s for s in snaps if s.season == g.Season and s.officialdate < g.OfficialDate), key=lambda s: s.officialdate):
+            newest[s.player_name] = s
+        if g.home_sp_player_name is not None:
+            own = g.home_sp_strikeouts_last_7
+            assert g.home_sp_rank_strikeouts_last_7 == 1 + sum(s.strikeouts_last_7 > own for s in newest.values())
+            checked += 1
+    assert checked > 0
+    bare = jobs.training_features(tables, "2023-04-20", "2023-04-23", pitcher_ranks=False)
+    assert {c for c in features.columns if "_sp_rank_" in c} == set(features.columns) - set(bare.columns)
+
+
 def test_ids_and_pitcher_ranks_on_request(spark, lake):
     tables = jobs.load_tables(spark, str(lake / "parquet"))
     from formline.operators.form import PITCHER_FORM_BY_ID
@@ -193,6 +213,12 @@ def test_command_line_passes_arguments(monkeypatch):
     monkeypatch.setitem(cli.JOBS, "train", (lambda spark, **kw: seen.update(kw), *cli.JOBS["train"][1:]))
     cli.main(["train", "--table", "t", "--output", "o", "--tag", "x", "--trials", "3"])
     assert seen == {"table": "t", "output": "o", "tag": "x", "trials": 3, "stopped": True}
+    cli.main(["train", "--table", "t", "--output", "o", "--tag", "x", "--depth", "4", "--patience", "7"])
+    assert (seen["base"].depth, seen["base"].patience, seen["base"].rounds) == (4, 7, 4000)
+    monkeypatch.setitem(cli.JOBS, "training-features", (lambda spark, **kw: seen.update(kw), *cli.JOBS["training-features"][1:]))
+    form = ["training-features", "--source", "s", "--begin", "b", "--end", "e", "--output", "o"]
+    cli.main([*form, "--pitcher-ranks", "false", "--pitcher-key", "id", "--pitcher-ties", "all", "--league", "30"])
+    assert (seen["pitcher_ranks"], seen["pitcher_spec"].entity, seen["pitcher_ties"], seen["league"]) == (False, ("player_id",), "all", 30)
 
 
 def test_feature_output_can_be_run_again(spark, tmp_path):

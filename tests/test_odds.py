@@ -121,3 +121,30 @@ def test_zone_table_and_default(spark):
 def test_no_events_give_an_empty_result(spark, tmp_path):
     (tmp_path / "none.json").write_text('{"data": []}\n')
     assert jobs.format_odds(spark, str(tmp_path)).count() == 0
+
+
+def test_a_small_dimension_is_broadcast_by_the_plan_itself(spark):
+    from formline.functions import zones
+
+    fact = spark.range(1000).selectExpr("id", "concat('Team ', id) AS home_team")
+    found = zones.dim_lookup(fact, zones.zone_table(spark), "home_team", "team", "tz", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ExistingRDD" not in plan
+    assert zones.zone_table(spark, {}).count() == 0 and zones.zone_table(spark, {"O'Hara \\ \"x\"": "UTC"}).first().team == "O'Hara \\ \"x\""
+
+
+def test_a_repeated_key_of_a_dimension_is_an_error(spark):
+    import pytest
+
+    from formline.functions import zones
+
+    dim = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z"), (None, "n"), (None, "m")], "team string, tz string")
+    fact = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "t string")
+    single = zones.dim_lookup(fact, dim.where("tz <> 'y'"), "t", "team", "tz", "UTC")
+    assert sorted(tuple(r) for r in single.fillna("-").collect()) == [("-", "UTC"), ("a", "x"), ("b", "z"), ("c", "UTC")]
+    with pytest.raises(Exception, match="repeated key in team: a"):
+        zones.dim_lookup(fact, dim, "t", "team", "tz", "UTC").collect()
