@@ -1,7 +1,7 @@
 """The training-data pipeline: stages over ``documents``, each written and read again by the next one.
 
 A stage gets ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return the columns
-of ``docs``. Rows with NULL or repeated ids go through all stages; an empty table gives an empty result.
+of ``docs``. Rows with NULL or repeated ids are documents of their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formline.llm import mixing, packing, quality, secrets, setsketch
-from formline.llm.common import documents, stored, table
+from formline.llm.common import documents, fresh, stored, table
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -26,10 +26,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the least id."""
-    kept = setsketch.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    rows = docs.join(kept.where("doc_id is not null"), "doc_id", "left_semi").select(docs.columns)
-    return rows.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near-duplicates stays: the one with the least id.
+
+    Rows are told apart by a number, in the order of their ids and NULL last, so that copies without an id or with
+    the same one go as well.
+    """
+    row, known, group = (fresh(name, docs.columns) for name in ("row", "known", "group"))
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = setsketch.near_duplicates(rows, id_column=row).select(F.col("doc_id").alias(row), F.col("component_id").alias(group))
+    ids = rows.select(row, F.col("doc_id").alias(known)).join(found, row)
+    # NULL ids come last: false sorts before true.
+    first = F.min_by(F.col(row), F.struct(F.col(known).isNull(), F.col(known), F.col(row)))
+    kept = ids.groupBy(group).agg(first.alias(row)).select(row)
+    return rows.join(kept, row, "left_semi").select(docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,17 +52,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A text that is taken whole stays as it is; of others the words taken are joined by blanks.
     Documents without words aren't in the mix.
     """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    placed, taken = mixing.mix(rows, id_column="_row")
-    spans = mixing.spans(placed, taken).join(placed.select("row", "size", F.col("doc_id").alias("_row")), "row")
-    drawn = spans.groupBy("_row", "pass").agg(
-        F.sort_array(F.collect_list(F.struct("low", "high"))).alias("_spans"),
-        (F.sum(F.col("high") - F.col("low")) == F.any_value("size")).alias("_whole"),
+    row, spans, words, whole = (fresh(name, [*docs.columns, "pass", "size"]) for name in ("row_", "spans", "words", "whole"))
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    placed, taken = mixing.mix(rows, id_column=row)
+    cuts = mixing.spans(placed, taken).join(placed.select("row", "size", F.col("doc_id").alias(row)), "row")
+    drawn = cuts.groupBy(row, "pass").agg(
+        F.sort_array(F.collect_list(F.struct("low", "high"))).alias(spans),
+        (F.sum(F.col("high") - F.col("low")) == F.any_value("size")).alias(whole),
     ).drop("pass")
-    words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
-    cut = F.transform("_spans", lambda s: F.slice("_words", (s.low + 1).cast("int"), (s.high - s.low).cast("int")))
-    mixed = rows.join(drawn, "_row").withColumn("_words", F.when(~F.col("_whole"), words))
-    mixed = mixed.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(F.concat_ws(" ", F.flatten(cut))))
+    every = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
+    cut = F.transform(spans, lambda s: F.slice(words, (s.low + 1).cast("int"), (s.high - s.low).cast("int")))
+    mixed = rows.join(drawn, row).withColumn(words, F.when(~F.col(whole), every))
+    mixed = mixed.withColumn("text", F.when(F.col(whole), F.col("text")).otherwise(F.concat_ws(" ", F.flatten(cut))))
     return _counted(mixed).select(docs.columns)
 
 

@@ -29,6 +29,14 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name like the given one that no column has; Spark's names differ by more than case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(id_column: str, parts: int, part: int) -> Column:
     """Whether a row belongs to the held-out fold; a row without an id does not."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string")), F.lit(parts)) == part, F.lit(False))

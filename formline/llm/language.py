@@ -40,7 +40,12 @@ _CODE = _table()
 def grams(text: str) -> np.ndarray:
     """Numbers of the letter n-grams of a text, words set apart by one gap; empty without letters."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letters = _CODE[np.where(points < 0x10000, points, 0x4E00 + points % 5000)]
+    letters = _CODE[np.minimum(points, 0xFFFF)]
+    high = np.flatnonzero(points >= 0x10000)
+    if len(high):
+        # Letters of the further planes share the codes of other letters; emoji and other signs are none.
+        found = {p: 27 + p % (CODES - 27) if chr(p).isalpha() else 0 for p in np.unique(points[high]).tolist()}
+        letters[high] = [found[p] for p in points[high].tolist()]
     gap = letters == 0
     letters = np.concatenate([[0], letters[~gap | np.append(True, ~gap[:-1])], [0]])
     if not letters.any():

@@ -18,8 +18,11 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30
 #: Relative width of a sketch's bins: quantiles are exact to 2 percent.
 BIN = 1.04
-#: Groups of fewer documents take the thresholds of their language, and those of all documents after that.
-LEAST_GROUP = 200
+#: A group's cut moves towards that of its language, and a language's towards that of all documents, as if the
+#: larger one had so many documents in it: smoothly by count, at every size.
+SHRINK = 50
+#: What a count tells about the rate of a text: a text of no length would have half an event in ten places.
+EVENT, PLACES = 0.5, 10
 #: A rule rejects beyond this quantile of its group, times the margin. Symbols and word lengths are those of junk that
 #: can be several percent of a group, so their quantile lies below that; lines and words repeat in few documents.
 QUANTILE = {"symbols": 0.9, "dup_lines": 0.99, "repeats": 0.99, "long": 0.9, "short": 0.9}
@@ -71,13 +74,23 @@ def measured(docs: DataFrame, id_column: str, text: str, lang: str, source: str)
     return plain.mapInPandas(run, "doc_id bigint, lang string, source string, " + ", ".join(f"{c} bigint" for c in _COUNTS) + ", lines bigint")
 
 
+_PER = {"symbols": ("n_symbols", "n_words"), "dup_lines": ("n_dup_lines", "lines"), "repeats": ("n_repeat_words", "n_words")}
+
+
+def _lengths() -> dict[str, Column]:
+    length = F.greatest(F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)), F.lit(0.01))
+    return {"long": length, "short": 1 / length}
+
+
 def _rates() -> dict[str, Column]:
-    words = F.greatest(F.col("n_words"), F.lit(1))
-    length = F.greatest(F.col("word_chars") / words, F.lit(0.01))
-    return {
-        "symbols": F.col("n_symbols") / words, "dup_lines": F.col("n_dup_lines") / F.col("lines"),
-        "repeats": F.col("n_repeat_words") / words, "long": length, "short": 1 / length,
-    }
+    """What the sketches hold: rates of events as a count alone lets expect them, so no text has rate 0."""
+    return {rule: (F.col(n) + EVENT) / (F.col(size) + PLACES) for rule, (n, size) in _PER.items()} | _lengths()
+
+
+def _sure_rates() -> dict[str, Column]:
+    """What is held against the cuts: a rate less one standard error, 0 for a single event in a text of any length."""
+    sure = {rule: (F.col(n) - F.sqrt(n)) / F.greatest(F.col(size), F.lit(1)) for rule, (n, size) in _PER.items()}
+    return sure | _lengths()
 
 
 def _base_failed() -> Column:
@@ -89,29 +102,29 @@ def thresholds(rows: DataFrame) -> DataFrame:
 
     Those that fail it are rejected anyway, and would lift the quantiles of repetition out of reach.
     A sketch counts values in bins of equal relative width; sketches merge by adding counts, in any
-    order and with the same result. Those of a language and of all are merged from those of the groups.
+    order and with the same result. Those of a language and of all are merged from those of the groups. A cut is the
+    quantile of the group times the margin, shrunk by count towards that of the language, itself shrunk towards that of all.
     """
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("value")) for k, v in _rates().items()]))
     values = rows.where(~_base_failed()).select("lang", "source", each.alias("r")).select("lang", "source", "r.rule", "r.value")
-    low = F.lit(-(10**6))
-    bins = values.withColumn("bin", F.when(F.col("value") > 1e-9, F.floor(F.log("value") / F.lit(float(np.log(BIN))))).otherwise(low))
+    bins = values.withColumn("bin", F.floor(F.log("value") / F.lit(float(np.log(BIN)))))
     sketch = stored(bins.groupBy("lang", "source", "rule", "bin").agg(F.count(F.lit(1)).alias("n")), "sketches")
 
     def cuts(key: list[str]) -> DataFrame:
         merged = sketch.groupBy(*key, "rule", "bin").agg(F.sum("n").alias("n"))
         group = W.partitionBy(*key, "rule")
         ranked = merged.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("all", F.sum("n").over(group))
-        value = F.when(F.col("bin") == low, F.lit(0.0)).otherwise(F.pow(F.lit(BIN), F.col("bin") + 0.5))
+        value = F.pow(F.lit(BIN), F.col("bin") + 0.5)
         wanted = F.create_map(*[F.lit(x) for pair in QUANTILE.items() for x in pair])[F.col("rule")]
         edge = F.min(F.when(F.col("upto") >= F.col("all") * wanted, value))
         return ranked.groupBy(*key, "rule").agg((MARGIN * edge).alias("cut"), F.first("all").alias("n"))
 
     own, of_lang, of_all = cuts(["lang", "source"]), cuts(["lang"]), cuts([])
-    both = own.join(of_lang.select(F.col("lang").alias("l"), F.col("rule").alias("r"), F.struct("n", "cut").alias("by_lang")),
+    both = own.join(of_lang.select(F.col("lang").alias("l"), F.col("rule").alias("r"), F.col("n").alias("lang_n"), F.col("cut").alias("by_lang")),
                     own["lang"].eqNullSafe(F.col("l")) & (own["rule"] == F.col("r"))).drop("l", "r")
     both = both.join(of_all.select("rule", F.col("cut").alias("by_all")), "rule")
-    enough = F.col("by_lang.n") >= LEAST_GROUP
-    cut = F.when(F.col("n") >= LEAST_GROUP, F.col("cut")).when(enough, F.col("by_lang.cut")).otherwise(F.col("by_all"))
+    of_lang = (F.col("lang_n") * F.col("by_lang") + SHRINK * F.col("by_all")) / (F.col("lang_n") + SHRINK)
+    cut = (F.col("n") * F.col("cut") + SHRINK * of_lang) / (F.col("n") + SHRINK)
     return both.select("lang", "source", "rule", cut.alias("cut"))
 
 
@@ -129,6 +142,6 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang:
     met = rows.join(cut, rows["lang"].eqNullSafe(F.col("_lang")) & rows["source"].eqNullSafe(F.col("_source")), "left")
     failed = _base_failed()
     within = F.lit(True)
-    for rule, rate in _rates().items():
+    for rule, rate in _sure_rates().items():
         within = within & F.coalesce(rate <= F.col("cuts")[rule], F.lit(True))
     return met.select("doc_id", *_COUNTS, failed.alias("base_failed"), (~failed & within).alias("kept"))

@@ -5,9 +5,13 @@ Everything is column expressions; texts aren't moved. Positions are code points.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from formline.llm.common import fresh
+
 KINDS = ("assign", "access", "hex", "entropy")
 
 #: The patterns of the three base kinds.
@@ -16,17 +20,22 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
-#: Candidates of the entropy scan are runs of this alphabet, of at least a window.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
+#: Windows of the entropy scan: the short one for candidates that the long one doesn't fit in. Strings of
+#: fewer characters than the short one are no candidates.
 WINDOW = 24
-CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}+"
-#: Bits a window must reach, by the characters of the candidate. A window of 24 has at most 4.58.
-BITS = {"hex": 3.2, "other": 4.0}
-#: Candidates that aren't secrets: words, numbers, rules of one sign, identifiers of words, UUIDs, paths, sample values.
-ALLOWED = (
-    "^[A-Za-z]+$", "^[0-9]+$", "^[+/_=-]+$", "^[A-Za-z]+([_/=+-]+[A-Za-z]+)*$",
-    "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "(?i)example|sample|dummy|changeme|placeholder|xxxx",
-)
+SHORT_WINDOW = 16
+CANDIDATE = f"[A-Za-z0-9+/_=-]{{{SHORT_WINDOW},}}+"
+#: Classes of candidates by their letters and digits, the first that fits, and how many characters each draws from.
+CLASSES = (("hex", "^([0-9a-f]+|[0-9A-F]+)$", 16), ("one case", "^([0-9a-z]+|[0-9A-Z]+)$", 36), ("mixed", "^[0-9A-Za-z]+$", 62))
+#: Share of the entropy expected of random characters of the class that a window must reach.
+SHARE = 0.89
+#: Parts of a candidate between signs that are never secret: words, numbers, versions and sample values. The rest counts.
+ALLOWED_PARTS = "(?<![A-Za-z0-9])([A-Z]?[a-z]+|[A-Z]+|[0-9]+|[vV][0-9]+|(?i:example|sample|dummy|test|placeholder|changeme|x{4,})[0-9]*)(?![A-Za-z0-9])"
+#: What is left of a candidate and isn't a secret: a word and a number, or the reverse, and too little of either.
+ALLOWED = ("^[A-Za-z]*[0-9]*$", "^[0-9]*[A-Za-z]*$")
+#: Whole candidates that aren't secrets: UUIDs.
+ALLOWED_WHOLE = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 _SPAN = "struct<kind:string,place:int,start:bigint,end:bigint>"
 
@@ -58,8 +67,18 @@ def _weight(count: Column) -> Column:
     return F.when(count > 0, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
 
-def window_bits(candidate: Column) -> Column:
-    """The largest Shannon entropy of a window of ``WINDOW`` characters, over all windows of the candidate.
+def expected_bits(window: int, size: int) -> float:
+    """The mean Shannon entropy of a window of random characters out of ``size``.
+
+    Each character's count is binomial; the entropy is log2(window) less the mean of count * log2(count) over the window.
+    """
+    p = 1 / size
+    terms = (math.comb(window, k) * p**k * (1 - p) ** (window - k) * k * math.log2(k) for k in range(2, window + 1))
+    return math.log2(window) - size * sum(terms) / window
+
+
+def window_bits(candidate: Column, window: int = WINDOW) -> Column:
+    """The largest Shannon entropy of a window of so many characters, over all windows of the candidate.
 
     Counts per character follow the window: one goes up and one goes down per step, and the sum of
     count * log2(count) changes by the terms of these two alone.
@@ -71,28 +90,43 @@ def window_bits(candidate: Column) -> Column:
     # candidate, as what a lambda names from outside would be computed again at every step.
     enters = F.transform(F.split(candidate, ""), lambda c: F.position(c, F.lit(ALPHABET)) - 1)
     steps = F.transform(enters, lambda c, i: F.struct(i.alias("i"), c.alias("enters")))
-    leaves = F.concat(F.array_repeat(F.lit(-1), WINDOW), F.slice(enters, 1, F.length(candidate) - WINDOW))
+    leaves = F.concat(F.array_repeat(F.lit(-1), window), F.slice(enters, 1, F.length(candidate) - window))
     steps = F.zip_with(steps, leaves, lambda s, c: F.struct(s.i.alias("i"), s.enters.alias("enters"), c.alias("leaves")))
 
     def slide(state, at):
-        full = at.i >= WINDOW
+        full = at.i >= window
         up, left = F.get(state.counts, at.enters), F.get(state.counts, at.leaves)
         change = _weight(up + 1) - _weight(up) - F.when(full, _weight(left) - _weight(left - 1)).otherwise(F.lit(0.0))
         # Where the same character enters and leaves nothing changes.
         total = F.when(at.enters == at.leaves, state.sum).otherwise(state.sum + change)
         counts = F.transform(state.counts, lambda c, j: c + F.when(j == at.enters, 1).otherwise(0) - F.when(j == at.leaves, 1).otherwise(0))
-        bits = F.when(at.i >= WINDOW - 1, F.log2(F.lit(float(WINDOW))) - total / WINDOW).otherwise(F.lit(0.0))
+        bits = F.when(at.i >= window - 1, F.log2(F.lit(float(window))) - total / window).otherwise(F.lit(0.0))
         return F.struct(counts.alias("counts"), total.alias("sum"), F.greatest(state.best, bits).alias("best"))
 
     return F.aggregate(steps, begin, slide, lambda s: s.best)
 
 
-def _is_secret(candidate: Column) -> Column:
-    allowed = F.lit(False)
+def _secret_part(candidate: Column) -> Column:
+    """The letters and digits of a candidate without its allowed parts; empty where nothing secret can be left."""
+    rest = F.regexp_replace(F.regexp_replace(candidate, ALLOWED_PARTS, ""), "[^A-Za-z0-9]+", "")
+    allowed = candidate.rlike(ALLOWED_WHOLE) | (F.length(rest) < SHORT_WINDOW)
     for pattern in ALLOWED:
-        allowed = allowed | candidate.rlike(pattern)
-    bits = F.when(candidate.rlike("^[0-9a-fA-F]+$"), F.lit(BITS["hex"])).otherwise(F.lit(BITS["other"]))
-    return F.when(allowed, F.lit(False)).otherwise(window_bits(candidate) >= bits)
+        allowed = allowed | rest.rlike(pattern)
+    return F.when(allowed, F.lit("")).otherwise(rest)
+
+
+def _is_secret(candidate: Column) -> Column:
+    def reaches(part, window: int):
+        wanted = F.lit(None).cast("double")
+        for _, pattern, size in reversed(CLASSES):
+            wanted = F.when(part.rlike(pattern), F.lit(SHARE * expected_bits(window, size))).otherwise(wanted)
+        return F.coalesce(window_bits(part, window) >= wanted, F.lit(False))
+
+    def judged(part):
+        return F.when(part == "", F.lit(False)).when(F.length(part) < WINDOW, reaches(part, SHORT_WINDOW)).otherwise(reaches(part, WINDOW))
+
+    # The part is made once: what a lambda gets is a value, an expression would be made again at each use.
+    return F.get(F.transform(F.array(_secret_part(candidate)), judged), F.lit(0))
 
 
 def spans(text: Column) -> tuple[Column, Column]:
@@ -120,12 +154,13 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(ordered, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))))
 
 
-def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with ``_base`` and ``_spans``: the base spans and all spans."""
-    base, entropy = spans(F.col(text))
-    rows = docs.withColumns({"_base": base, "_entropy": entropy})
-    added = F.filter("_entropy", lambda e: ~F.exists("_base", lambda b: (b.start <= e.start) & (e.end <= b.end)))
-    return rows.withColumn("_spans", F.concat("_base", added)).drop("_entropy")
+def with_spans(docs: DataFrame, text: str = "text", base: str = "_base", every: str = "_spans") -> DataFrame:
+    """The rows with two more columns: the base spans and all spans. Names that ``docs`` has are replaced."""
+    entropy = fresh("_entropy", [*docs.columns, base, every])
+    of_base, of_entropy = spans(F.col(text))
+    rows = docs.withColumns({base: of_base, entropy: of_entropy})
+    added = F.filter(entropy, lambda e: ~F.exists(base, lambda b: (b.start <= e.start) & (e.end <= b.end)))
+    return rows.withColumn(every, F.concat(base, added)).drop(entropy)
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -141,8 +176,9 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The rows with every span of their text replaced by ``mark``; spans that overlap become one mark."""
-    rows = with_spans(docs, text)
-    ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"))))
+    base, every = (fresh(name, docs.columns) for name in ("_base", "_spans"))
+    rows = with_spans(docs, text, base, every)
+    ordered = F.array_sort(F.transform(every, lambda s: F.struct(s.start.alias("start"), s.end.alias("end"))))
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(state, s):
@@ -152,5 +188,5 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
         return F.when(s.start >= state.at, further).otherwise(over)
 
     rest = lambda s: F.concat(F.concat_ws("", s.parts), F.substring(F.col(text), (s.at + 1).cast("int"), F.length(F.col(text))))
-    clean = F.when(F.size("_spans") > 0, F.aggregate(ordered, begin, step, rest)).otherwise(F.col(text))
+    clean = F.when(F.size(every) > 0, F.aggregate(ordered, begin, step, rest)).otherwise(F.col(text))
     return rows.withColumn(text, clean).select(docs.columns)
