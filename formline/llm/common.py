@@ -19,16 +19,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def stored(rows: DataFrame, label: str) -> DataFrame:
+def stored(rows: DataFrame, label: str, among: list[str] | None = None) -> DataFrame:
     """The rows, written once to the folder all executors share and read back.
 
     What follows starts from files: it isn't computed twice, and a lost executor costs a re-read.
+    ``among`` collects the folders of tables that can be discarded once a later one is stored.
     """
     path = new_folder(rows.sparkSession, label)
     rows.write.parquet(path)
+    if among is not None:
+        among.append(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(name: str, columns: list[str]) -> str:
     """A column name like the given one that no column has; Spark's names differ by more than case."""
     taken = {c.lower() for c in columns}

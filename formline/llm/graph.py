@@ -26,23 +26,24 @@ def _stars(links: DataFrame, larger: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, among: list[str] | None = None) -> DataFrame:
     """``(node, label)`` for every node of ``links(a, b)``: the label is the least node reachable.
 
     Alternates large-star and small-star steps (Kiveris et al., 2014) until the links no longer
     change; every round is stored, so the plan stays short. Links with a NULL end are left out,
     loops only name their node. An empty table gives an empty result. Nodes can be of any ordered type.
+    ``among`` collects the folders of the rounds; they can be discarded once the result is stored.
     """
     named = links.where("a is not null and b is not null")
     nodes = named.select(F.explode(F.array("a", "b")).alias("node"))
-    now = stored(named.where("a <> b").select("a", "b").distinct(), "links")
+    now = stored(named.where("a <> b").select("a", "b").distinct(), "links", among)
     before = None
     for _ in range(MAX_ROUNDS):
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             break
         before = state
-        now = stored(_stars(_stars(now, True), False), "links")
+        now = stored(_stars(_stars(now, True), False), "links", among)
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     # Settled links are stars: every node but the least points at the least.

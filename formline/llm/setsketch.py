@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from formline.llm.common import only, stored
+from formline.llm.common import discard, only, stored
 from formline.llm.graph import components
 
 WORDS = 5
@@ -167,14 +167,14 @@ def _may_link(x: pd.Series, y: pd.Series, left: pd.Series, right: pd.Series) ->
     return pd.Series(_plausible(*levels, left.to_numpy(), right.to_numpy()))
 
 
-def _hub_links(shared: DataFrame, sketch: DataFrame, sets: DataFrame) -> DataFrame:
+def _hub_links(shared: DataFrame, sketch: DataFrame, sets: DataFrame, among: list[str]) -> DataFrame:
     """Links of each bucket's members with the bucket's first member, confirmed on the full sets."""
     pairs = shared.where("hub <> key").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
     for side in "ab":
         pairs = pairs.join(
             sketch.select(F.col("key").alias(side), F.col("registers").alias(f"r{side}"), F.col("n_shingles").alias(f"n{side}")), side
         )
-    pairs = stored(pairs.where(_may_link("ra", "rb", "na", "nb")).select("a", "b", "na", "nb"), "pairs")
+    pairs = stored(pairs.where(_may_link("ra", "rb", "na", "nb")).select("a", "b", "na", "nb"), "pairs", among)
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("key").alias(side), F.col("hashes").alias(f"h{side}")), side)
     both = F.size(F.array_intersect("ha", "hb"))
@@ -224,7 +224,7 @@ def _blocks_links(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([link for at in pairs for link in _block_links(rows, at)], columns=["a", "b"])
 
 
-def _rest_links(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+def _rest_links(shared: DataFrame, sets: DataFrame, labels: DataFrame, among: list[str]) -> DataFrame:
     """Links between components that meet in a bucket, for members that the bucket's first one doesn't cover.
 
     The first member has met all others already. The members of the bucket's most frequent component form one side, all others the other; both
@@ -232,7 +232,7 @@ def _rest_links(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFr
     """
     at = ["band", "bucket"]
     members = shared.where("hub <> key").select(*at, "key").join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
-    members = stored(members.withColumn("label", F.coalesce("label", "key")), "members")
+    members = stored(members.withColumn("label", F.coalesce("label", "key")), "members", among)
     sizes = members.groupBy(*at, "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy(*at).agg(
         F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels")
@@ -259,7 +259,7 @@ def _rest_links(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFr
         "left": ~F.col("is_main") & (F.col("own") == F.col("x")),
         "right": F.col("is_main") | (F.col("own") == F.col("y")),
     }).drop("is_main", "own")
-    tasks = stored(tasks, "blocks")
+    tasks = stored(tasks, "blocks", among)
     width = max(1, -(-tasks.count() // ROWS_PER_CALL))
     tasks = tasks.withColumn("call", F.pmod(F.xxhash64(*at, "x", "y"), F.lit(width)))
     tasks = tasks.join(sets, "key")
@@ -277,28 +277,30 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     for linking; a repeated row is returned as often as it occurs. Other columns aren't read.
     """
     plain = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
+    done_with: list[str] = []
     rows = stored(sketches(plain, "id", "text"), "sketches")
     ids, filled = rows.select("id", "key", "n_shingles"), rows.where("id is not null and n_shingles > 0")
-    sketch = stored(filled.groupBy("key").agg(*[F.first(c).alias(c) for c in ("n_shingles", "registers")]), "distinct")
+    sketch = stored(filled.groupBy("key").agg(*[F.first(c).alias(c) for c in ("n_shingles", "registers")]), "distinct", done_with)
     entries = banded(sketch)
     hubs = entries.groupBy("band", "bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
-    shared = stored(entries.join(hubs.drop("last"), ["band", "bucket"]), "buckets")
+    shared = stored(entries.join(hubs.drop("last"), ["band", "bucket"]), "buckets", done_with)
 
     wanted = shared.select("key").distinct()
     of_ids = only(filled.select("id", "key"), wanted, "key").groupBy("key").agg(F.min("id").alias("id"))
     first_ids = of_ids.select("id").distinct()
     sets = shingle_sets(only(plain, first_ids, "id")).dropDuplicates(["key"])
-    sets = stored(sets.join(sketch.join(wanted, "key", "left_semi"), "key"), "sets")
+    sets = stored(sets.join(sketch.join(wanted, "key", "left_semi"), "key"), "sets", done_with)
 
-    first = stored(_hub_links(shared, sketch, sets), "hub-links")
-    labels = stored(components(first), "labels")
-    rest = stored(_rest_links(shared, sets, labels), "rest-links")
+    first = stored(_hub_links(shared, sketch, sets, done_with), "hub-links", done_with)
+    labels = stored(components(first, done_with), "labels", done_with)
+    rest = stored(_rest_links(shared, sets, labels, done_with), "rest-links", done_with)
     # Rows that share an id but not a text are one document.
     by_id = filled.select("id", "key").distinct().groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("z"), F.count(F.lit(1)).alias("n"))
     several = filled.select("id", F.col("key").alias("b")).join(by_id.where("n > 1"), "id").select("a", "b")
     links = first.unionAll(rest).unionAll(several)
     # `rest` links components by their labels, which are nodes themselves.
-    labels = stored(components(links), "components")
+    labels = stored(components(links, done_with), "components")
+    discard(docs.sparkSession, done_with)
 
     named = filled.groupBy("key").agg(F.min("id").alias("id"))
     named = named.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
