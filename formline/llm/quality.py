@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.common import held_out, only
+from formline.llm.common import BROADCAST_IDS, held_out, only
 
 #: Labelled rows that a fit uses at most, drawn by hash of the id.
 SAMPLE_ROWS = 20_000
 #: Preference pairs of one pass over the sample, and passes.
 PAIRS, PASSES = 20_000, 60
 CUT_SCORE = 0.7
+#: The cut is found in counts of strengths by bins a ``BINS``-th wide; strengths beyond ``LARGEST`` share the last bins,
+#: so at most 16,386 bins a label reach the driver.
+BINS, LARGEST = 128, 64
 
 _CLASS = np.zeros(256, np.int64)
 for _i, _members in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\r\v\f", b"\n", b".,;:'\"()?-", b"!", b"#*$%&|<>", b"")):
@@ -59,16 +62,19 @@ class Strength:
     weights: np.ndarray
     cut: float
 
+    def strengths(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.centre) / self.scale, -8, 8) @ self.weights
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         """0 to 1; a strength at the cut gets exactly ``CUT_SCORE``."""
-        strength = np.clip((x - self.centre) / self.scale, -8, 8) @ self.weights - self.cut
+        strength = self.strengths(x) - self.cut
         return 1 / (1 + np.exp(-np.clip(strength + np.log(CUT_SCORE / (1 - CUT_SCORE)), -35, 35)))
 
 
 def fit_pairs(x: np.ndarray, label: np.ndarray, seed: int = 5) -> Strength:
     """Logistic loss on feature differences of (better, worse) pairs, then a cut by score quantile.
 
-    The cut is the quantile of the fitted strengths at the share of label 0. With one label only
+    The cut is the quantile of the given strengths at the share of label 0; ``fit`` moves it to that of all labelled rows. With one label only
     there are no pairs: all documents then score on the side of that label.
     """
     if not len(x):
@@ -101,24 +107,69 @@ def _with_features(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, "doc_id bigint, features array<double>")
 
 
+def quantile_of_counts(bins: np.ndarray, counts: np.ndarray, below: float) -> float:
+    """The strength that ``below`` of the counted ones lie under, taken as spread evenly within their bin."""
+    order = np.argsort(bins)
+    bins, ends = bins[order], np.cumsum(counts[order])
+    i = min(int(np.searchsorted(ends, below)), len(bins) - 1)
+    start = ends[i] - counts[order][i]
+    return float((bins[i] + np.clip((below - start) / counts[order][i], 0, 1)) / BINS)
+
+
+def _cut(plain: DataFrame, known: DataFrame, model: Strength) -> Strength:
+    """The model with its cut at the share of label 0 among the strengths of all labelled rows.
+
+    Strengths are counted by bin where they arise, so partial counts merge and only the counts of bins leave the tasks.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                strength = model.strengths(np.array([features(t) for t in batch["text"]]))
+                place = np.floor(np.clip(strength, -LARGEST, LARGEST) * BINS).astype(np.int32)
+                yield pd.DataFrame({"doc_id": batch["doc_id"], "bin": place})
+
+    ids = known.select("doc_id").distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    # Where the ids are too many to send, texts stay where they are and their bins go to the labels.
+    texts = plain.join(F.broadcast(ids), "doc_id", "left_semi") if few else plain.where("doc_id is not null")
+    met = texts.mapInPandas(run, "doc_id bigint, bin int").join(known, "doc_id")
+    counted = met.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 0).alias("bad")).collect()
+    if not counted:
+        return model
+    bins, n, bad = (np.array(c, np.float64) for c in zip(*counted, strict=True))
+    return replace(model, cut=quantile_of_counts(bins, n, bad.sum()))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "doc_id", label: str = "quality", text: str = "text") -> Strength:
-    """A model of at most ``rows`` labelled documents outside the held-out fold, drawn by hash of the id."""
-    chosen = labels.where(~held_out(id_column, 4, 2)).select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    chosen = chosen.where("doc_id is not null and label in (0, 1)").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
+    """A model of the labelled documents outside the held-out fold.
+
+    Weights come from at most ``rows`` labels, drawn by hash of the id, and the cut from all of them. Rows without an id
+    or with a label other than 0 and 1 have no part. Of documents that share an id the weights take one, the one with
+    the least features, and the cut takes each; each label row of an id counts.
+    """
+    known = labels.where(~held_out(id_column, 4, 2)).select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    known = known.where("doc_id is not null and label in (0, 1)")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     # The sample is bounded, so it is gathered once and the texts come to it.
-    known = pd.DataFrame([tuple(r) for r in chosen.collect()], columns=["doc_id", "label"])
-    if not len(known):
+    sample = pd.DataFrame([tuple(r) for r in chosen.collect()], columns=["doc_id", "label"])
+    if not len(sample):
         return fit_pairs(np.empty((0, N_FEATURES)), np.empty(0))
-    ids = docs.sparkSession.createDataFrame(known[["doc_id"]].drop_duplicates(), "doc_id bigint")
+    ids = docs.sparkSession.createDataFrame(sample[["doc_id"]].drop_duplicates(), "doc_id bigint")
     plain = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    found = pd.DataFrame([tuple(r) for r in _with_features(only(plain, ids, "doc_id"), "doc_id", "text").collect()], columns=["doc_id", "features"])
-    both = found.merge(known, on="doc_id").sort_values(["doc_id", "label"])
+    one = _with_features(only(plain, ids, "doc_id"), "doc_id", "text").groupBy("doc_id").agg(F.min("features").alias("features"))
+    found = pd.DataFrame([tuple(r) for r in one.collect()], columns=["doc_id", "features"])
+    both = found.merge(sample, on="doc_id").sort_values(["doc_id", "label"])
     x = np.array(both["features"].to_list(), float).reshape(-1, N_FEATURES)
-    return fit_pairs(x, both["label"].to_numpy())
+    model = fit_pairs(x, both["label"].to_numpy())
+    return _cut(plain, known, model) if model.weights.any() else model
 
 
 def score(docs: DataFrame, model: Strength, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` of every row; NULL and empty texts are scored by their (empty) features."""
+    """``(doc_id, held_out, score, predicted)`` of every row; NULL and empty texts are scored by their (empty) features.
+
+    Rows without an id or with a repeated one are scored like any other; without an id a row isn't held out.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -60,8 +60,22 @@ def slots(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Noisy:
-    weights: np.ndarray
+    """Weights of the slots that have any, the bias of a sentence, and the chance of a text without words."""
+
+    used: np.ndarray
+    values: np.ndarray
     bias: float
+    empty: float
+
+    @cached_property
+    def weights(self) -> np.ndarray:
+        """By slot; built where it is used, so only the slots with weight travel."""
+        dense = np.zeros(SLOTS, np.float32)
+        dense[self.used] = self.values
+        return dense
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "weights"}
 
     def sentence_scores(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
         if not len(starts):
@@ -69,22 +83,39 @@ class Noisy:
         z = np.add.reduceat(self.weights[words], starts) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def score(self, text: str | None) -> float:
-        """The chance that any sentence is toxic; a text without words has none."""
-        words, starts = slots(text)
-        return float(1 - np.prod(1 - self.sentence_scores(words, starts)))
+    def judge(self, text: str | None, least: float = 0.5) -> tuple[float, list[tuple[int, int, float]]]:
+        """The chance that any sentence is toxic, and the sentences ``(start, end, score)`` to blame.
+
+        To blame are those that score ``least`` or more; where the text as a whole does and none of them alone, the
+        first of the likeliest.
+        """
+        each = self.sentence_scores(*slots(text))
+        if not len(each):
+            return self.empty, []
+        total = float(1 - np.prod(1 - each))
+        if total < least:
+            return total, []
+        bounds = [(a, b) for a, b in sentences(text or "") if _WORD.search(text[a:b])]
+        blamed = np.flatnonzero(each >= min(least, each.max()))
+        if each.max() < least:
+            blamed = blamed[:1]
+        return total, [(*bounds[i], float(each[i])) for i in blamed]
 
 
 def fit_bags(bags: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> Noisy:
     """Weights that make the noisy-or of the sentences fit the documents' labels, by Adam on the logistic loss.
 
     Only the label of the document is known; the noisy-or lets the likeliest sentences explain it.
-    With fewer than two labels all sentences get the share of label 1 as chance (or nearly 0).
+    With fewer than two labels all sentences get the share of label 1 as chance (or nearly 0). Texts without words get the
+    share of label 1 among such texts, drawn towards that among all as by one more text; 0 where nothing is labelled.
     """
     keep = [i for i, (w, s) in enumerate(bags) if len(s)]
+    share = float(label.mean()) if len(label) else 0.0
+    wordless = np.delete(label, keep)
+    empty = (float(wordless.sum()) + share) / (len(wordless) + 1)
     label = label[keep].astype(float)
     if not len(label) or label.min() == label.max():
-        return Noisy(np.zeros(SLOTS, np.float32), 30.0 if len(label) and label.max() == 1 else -30.0)
+        return Noisy(np.zeros(0, np.int64), np.zeros(0, np.float32), 30.0 if len(label) and label.max() == 1 else -30.0, empty)
     words = np.concatenate([bags[i][0] for i in keep])
     n_words = np.array([len(bags[i][0]) for i in keep])
     n_sentences = np.array([len(bags[i][1]) for i in keep])
@@ -116,13 +147,16 @@ def fit_bags(bags: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> No
         # Words only speak for toxicity: else a long harmless rest of the sentence would outweigh them.
         w[:-1] = np.maximum(w[:-1] - change[:-1], 0)
         bias -= change[-1]
-    weights = np.zeros(SLOTS, np.float32)
-    weights[used] = w[:-1]
-    return Noisy(weights, float(bias))
+    some = w[:-1] > 0
+    return Noisy(used[some], w[:-1][some].astype(np.float32), float(bias), empty)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "doc_id", label: str = "toxic", text: str = "text") -> Noisy:
-    """A model of at most ``rows`` labelled documents outside the held-out fold, drawn by hash of the id."""
+    """A model of at most ``rows`` labels outside the held-out fold, drawn by hash of the id.
+
+    Rows without an id or with a label other than 0 and 1 have no part. Of documents that share an id the fit takes one,
+    the one with the least hashed words; each label row of an id counts.
+    """
     chosen = labels.where(~held_out(id_column, 5, 0)).select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
     chosen = chosen.where("doc_id is not null and label in (0, 1)").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     known = pd.DataFrame([tuple(r) for r in chosen.collect()], columns=["doc_id", "label"])
@@ -137,7 +171,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_column:
     # Bounded by ``rows``: the sample is gathered once, as hashed words.
     ids = docs.sparkSession.createDataFrame(known[["doc_id"]].drop_duplicates(), "doc_id bigint")
     plain = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    found = only(plain, ids, "doc_id").mapInPandas(run, "doc_id bigint, words binary, starts binary").collect()
+    each = only(plain, ids, "doc_id").mapInPandas(run, "doc_id bigint, words binary, starts binary")
+    found = each.groupBy("doc_id").agg(F.min(F.struct("words", "starts")).alias("bag")).select("doc_id", "bag.*").collect()
     both = pd.DataFrame([tuple(r) for r in found], columns=["doc_id", "words", "starts"]).merge(known, on="doc_id")
     both = both.sort_values(["doc_id", "label"])
     bags = [(np.frombuffer(w, np.int32), np.frombuffer(s, np.int64)) for w, s in zip(both["words"], both["starts"], strict=True)]
@@ -145,31 +180,35 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_column:
 
 
 def score(docs: DataFrame, model: Noisy, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` of every row; NULL, empty and wordless texts score 0."""
+    """``(doc_id, held_out, score, predicted, offending)`` of every row; texts without words get the model's chance for such.
+
+    ``offending`` names the sentences to blame as ``start:end``, in code points, joined by commas; it is empty where the
+    score is below one half. Rows without an id or with a repeated one are scored like any other.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": [sent.value.score(t) for t in batch["text"]]})
+            done = [sent.value.judge(t) for t in batch["text"]]
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"].astype("Int64"), "score": [p for p, _ in done],
+                "offending": [",".join(f"{a}:{b}" for a, b, _ in blamed) for _, blamed in done],
+            })
 
     plain = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    scored = plain.mapInPandas(run, "doc_id bigint, score double")
-    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = plain.mapInPandas(run, "doc_id bigint, score double, offending string")
+    return scored.select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending"
+    )
 
 
 def offending(docs: DataFrame, model: Noisy, least: float = 0.5, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, start, end, score)``: the sentences, in code points, that score ``least`` or more."""
+    """``(doc_id, start, end, score)``: the sentences, in code points, to blame for a text that scores ``least`` or more."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for doc_id, value in zip(batch["doc_id"], batch["text"], strict=True):
-                for a, b in sentences(value or ""):
-                    words, starts = slots(value[a:b])
-                    for p in sent.value.sentence_scores(words, starts):
-                        if p >= least:
-                            out.append((doc_id, a, b, float(p)))
+            out = [(i, *s) for i, t in zip(batch["doc_id"], batch["text"], strict=True) for s in sent.value.judge(t, least)[1]]
             yield pd.DataFrame(out, columns=["doc_id", "start", "end", "score"]).astype({"doc_id": "Int64"})
 
     plain = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))

@@ -15,15 +15,31 @@ from formline.llm.common import stored
 from formline.llm.graph import components
 
 COSINE = 0.9
-#: Hash tables, cross-polytope hashes joined in a bucket, and buckets that a vector looks into per table.
-#: At a cosine of 0.9 in 64 dimensions this finds more than 0.99 of the pairs. With 128 values a
-#: hash, three fit some ten million vectors; each further factor of 128 asks for one more.
-TABLES, HASHES, PROBES = 8, 3, 8
+#: Buckets that a vector looks into per table.
+PROBES = 8
+#: Vectors per bucket, on average, from which one more hash is joined in a bucket.
+FULL = 5
 BLOCK = 512
 ROWS_PER_CALL = 4000
 _TOP = 3
 
 
+def _padded(width: int) -> int:
+    return max(2, 1 << (width - 1).bit_length())
+
+
+def settings(width: int, rows: int) -> tuple[int, int]:
+    """Hash tables, and cross-polytope hashes joined in a bucket, for so many vectors of a width.
+
+    Hashes grow with the number of vectors, so that buckets stay small; tables grow with the width and the hashes, so
+    that more than 0.95 of the pairs at a cosine of 0.9 are found at every width up to 1,024 (tests measure it).
+    """
+    size, hashes = _padded(width), 3
+    while rows > FULL * (2 * size) ** hashes and (2 * size) ** (hashes + 1) < 1 << 62:
+        hashes += 1
+    return max(8, 2 * size.bit_length() - 6) << (hashes - 3), hashes
+
+
 @lru_cache(8)
 def _signs(width: int, tables: int, hashes: int) -> np.ndarray:
     return np.random.default_rng(width).choice([-1.0, 1.0], (tables, hashes, 3, width))
@@ -39,13 +55,13 @@ def _hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(width)
 
 
-def probe_codes(x: np.ndarray, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES) -> np.ndarray:
+def probe_codes(x: np.ndarray, tables: int, hashes: int, probes: int = PROBES) -> np.ndarray:
     """Bucket codes of unit rows, shape (rows, tables, probes), the nearest bucket first.
 
     Three rounds of random signs and the transform rotate a row; its hash is the axis, with sign,
     that it is nearest to. Further probes take the next axes where least is lost.
     """
-    width = max(2, 1 << (x.shape[1] - 1).bit_length())
+    width = _padded(x.shape[1])
     padded = np.pad(x, ((0, 0), (0, width - x.shape[1])))
     choices = np.array(list(product(range(min(_TOP, width)), repeat=hashes)))
     codes = np.empty((len(x), tables, min(probes, len(choices))), np.int64)
@@ -65,13 +81,13 @@ def probe_codes(x: np.ndarray, tables: int = TABLES, hashes: int = HASHES, probe
     return codes
 
 
-def _coded(reps: DataFrame) -> DataFrame:
+def _coded(reps: DataFrame, rows: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, same in batch.groupby(batch["vector"].map(len)):
                 x = np.array(same["vector"].to_list(), np.float64)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
-                codes = probe_codes(x).reshape(len(x), -1)
+                codes = probe_codes(x, *settings(x.shape[1], rows)).reshape(len(x), -1)
                 yield pd.DataFrame({
                     "node": same["node"].to_numpy(), "copies": same["copies"].to_numpy(), "width": x.shape[1],
                     "unit": [u.tobytes() for u in x], "codes": list(codes),
@@ -123,7 +139,7 @@ def _blocks_links(group: pd.DataFrame) -> pd.DataFrame:
     out, counts = [], {}
     for _, same in group.groupby("width"):
         rows = {c: same[c].to_numpy() for c in same.columns}
-        rows["codes"] = np.array(same["codes"].to_list(), np.int64).reshape(len(same), TABLES, -1)
+        rows["codes"] = np.array(same["codes"].to_list(), np.int64).reshape(len(same), -1, PROBES)
         for at in same.reset_index(drop=True).groupby(["table", "code", "x", "y"], sort=False).indices.values():
             out += [(a, b, 0) for a, b in _block_links(rows, at, counts)]
     out += [(a, None, n) for a, n in counts.items()]
@@ -147,12 +163,11 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str =
     reps = rows.where("vector is not null").groupBy("vector").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"))
     # Rows that share an id but not a vector: each vector is a node of its own.
     reps = stored(reps.withColumn("id", F.col("node")).withColumn("node", F.monotonically_increasing_id()), "distinct")
-    coded = stored(_coded(reps.select("node", "copies", "vector")), "codes")
+    coded = stored(_coded(reps.select("node", "copies", "vector"), reps.count()), "codes")
 
-    size = F.size("codes") / F.lit(TABLES)
-    entries = coded.select("node", "width", size.cast("int").alias("probes"), F.posexplode("codes").alias("place", "code")).select(
-        "node", "width", "code", F.floor(F.col("place") / F.col("probes")).cast("int").alias("table"),
-        (F.col("place") % F.col("probes") == 0).alias("first"),
+    entries = coded.select("node", "width", F.posexplode("codes").alias("place", "code")).select(
+        "node", "width", "code", F.floor(F.col("place") / F.lit(PROBES)).cast("int").alias("table"),
+        (F.col("place") % PROBES == 0).alias("first"),
     )
     key = ["width", "table", "code"]
     buckets = entries.groupBy(*key).agg(F.count_if("first").alias("homes"), F.count(F.lit(1)).alias("lookers"))

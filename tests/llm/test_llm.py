@@ -206,6 +206,31 @@ def test_vector_links_equal_brute_force(spark):
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("width", "rows"), [(32, 1000), (64, 1000), (64, 10**8), (128, 1000), (384, 1000), (1024, 1000)])
+def test_pairs_at_the_threshold_are_found_at_every_width(width, rows):
+    draw, n = np.random.default_rng(4), 400
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(draw.normal(size=(n, width)))
+    z = draw.normal(size=(n, width))
+    y = 0.9 * x + math.sqrt(1 - 0.81) * unit(z - (z * x).sum(1, keepdims=True) * x)
+    tables, hashes = vectors.settings(width, rows)
+    assert hashes == (4 if rows > 10**7 else 3)
+    a, b = vectors.probe_codes(x, tables, hashes), vectors.probe_codes(y, tables, hashes)
+    met = (a == b[:, :, :1]).any((1, 2)) | (b == a[:, :, :1]).any((1, 2))
+    assert a.shape == (n, tables, vectors.PROBES) and met.mean() >= 0.95
+
+
+def test_vectors_of_several_widths_link_within_their_width(spark):
+    draw, rows = np.random.default_rng(5), []
+    for width in (1, 2, 3, 200, 600):
+        base = draw.normal(size=(8, width))
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate(np.concatenate([base, 2 * base, base + 0.02 * draw.normal(size=base.shape)]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    cosine = lambda v, w: len(v) == len(w) and np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.9
+    expected = {i: sum(cosine(v, w) for j, w in rows if j != i) for i, v in rows}
+    assert {r.vec_id: r.n_links for r in vectors.near_duplicates(frame).collect()} == expected
+
+
 # 4 packing
 
 
@@ -279,9 +304,37 @@ def test_toxicity_learns_from_document_labels(spark, none, edges, labels):
     assert {r.doc_id for r in placed} == {i for i in range(400) if i % 3 == 0}
     assert all("nastyword" in rows[r.doc_id][1][r.start : r.end] for r in placed)
     assert len(toxicity.classify(edges, marked).collect()) == len(EDGES)
+    for r in found:
+        parts = [rows[r.doc_id][1][slice(*map(int, s.split(":")))] for s in r.offending.split(",") if s]
+        assert bool(parts) == bool(r.predicted) and all("nastyword" in p for p in parts)
     assert toxicity.classify(none, marked.limit(0)).count() == 0 and neutral
 
 
+def test_noisy_or_and_its_slope_equal_plain_loops():
+    texts_ = ["aa bb. cc dd! aa", "bb cc", "dd dd\naa ee", "", "ee. bb"] * 8
+    label = np.array([1, 0, 1, 0, 0] * 8)
+    bags = [toxicity.slots(t) for t in texts_]
+    model = toxicity.fit_bags(bags, label)
+
+    def chance(text):
+        none = 1.0
+        for sentence in re.split("[.!\n]", text):
+            words = set(sentence.split())
+            if words:
+                z = model.bias + sum(float(model.weights[s]) for s in {s for w in words for s in toxicity._slots_of(w)})
+                none *= 1 - 1 / (1 + math.exp(-z))
+        return 1 - none
+
+    for text in set(texts_) - {""}:
+        assert model.judge(text)[0] == pytest.approx(chance(text), abs=1e-6)
+        assert (model.judge(text)[0] >= 0.5) == (text in (texts_[0], texts_[2]))
+    # Nine tenths: eight wordless texts with label 0, and one more with the share of all.
+    assert model.judge("")[0] == model.judge(" 12 ")[0] == pytest.approx(0.4 / 9)
+    turned = toxicity.fit_bags(bags, np.where([t == "" for t in texts_], 1, label))
+    assert turned.judge(None)[0] == pytest.approx((8 + 0.6) / 9)
+    assert toxicity.fit_bags(bags, np.ones(40)).judge("")[0] == 1 and toxicity.fit_bags([], np.empty(0)).judge("")[0] == 0
+
+
 # 6 personal data
 
 
@@ -507,6 +560,25 @@ def test_quality_of_held_out_documents(docs, labels, edges, none):
     assert quality.classify(edges, labels).count() == len(EDGES) and quality.classify(none, labels.limit(0)).count() == 0
 
 
+def test_the_cut_is_the_quantile_of_all_labelled_rows(spark, docs, labels):
+    few = quality.fit(docs, labels, rows=60)
+    usable = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    have = {d: t for d, t in texts(docs).items() if d in usable}
+    strength = np.sort([float(few.strengths(quality.features(t)[None])[0]) for t in have.values()])
+    bad = sum(usable[d] == 0 for d in have)
+    assert 60 < len(have) and strength[bad - 1] - 1 / quality.BINS <= few.cut <= strength[bad] + 1 / quality.BINS
+
+
+def test_quantiles_of_counts_equal_sorted_ones():
+    draw = np.random.default_rng(6)
+    values = draw.normal(size=5000)
+    bins, counts = np.unique(np.floor(values * quality.BINS), return_counts=True)
+    mixed = draw.permutation(len(bins))
+    for share in (0, 0.1, 0.5, 0.93, 1):
+        got = quality.quantile_of_counts(bins[mixed], counts[mixed].astype(float), share * 5000)
+        assert got == pytest.approx(np.quantile(values, share), abs=2 / quality.BINS)
+
+
 # pipeline
 
 
