@@ -169,6 +169,42 @@ def test_csv_prefix_aligns_by_name_and_drops_index_columns(spark, tmp_path):
     assert rows_of(free, ["a", "b"]) == [(2, 1), (3, 4), (7, 8)]
 
 
+def test_csv_cells_of_another_type_go_to_the_rejects(spark, tmp_path):
+    (tmp_path / "x y").mkdir()
+    (tmp_path / "x y" / "a.csv").write_text("\ufeffid,n,day,note\n1,25.0,2024-01-02,id\n2,3.7,2024-01-03,\nid,n,day,note\n")
+    (tmp_path / "x y" / "b.csv").write_text("\n \nday,more,more,ID\n2024-02-01,p,q,4\nnever,,,5\n2024-02-02,,,\n")
+    path, kinds = str(tmp_path / "x y"), "id int, n int, day date"
+    every = csv_source.scan_csv_prefix(spark, path, kinds, rest="rest")
+    assert every.count() == 6 and every.where("id = 2 and n is null").count() == 1
+    good = csv_source.scan_csv_prefix(spark, path, kinds, "rest", str(tmp_path / "rejects"))
+    got = sorted((r.id or 0, r.n, str(r.day), r.rest.toPython() if r.rest else None) for r in good.collect())
+    assert got == [(0, None, "2024-02-02", None), (1, 25, "2024-01-02", {"note": "id"}), (4, None, "2024-02-01", {"more": "p"})]
+    bad = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert sorted((r.file[-5:], r.cells, r.unreadable) for r in bad) == [
+        ("a.csv", ["2", "3.7", "2024-01-03", None], ["n"]), ("a.csv", ["id", "n", "day", "note"], ["id", "n", "day"]),
+        ("b.csv", ["never", None, None, "5"], ["day"]),
+    ]
+    assert {tuple(r.columns) for r in bad} == {("day", "more", "more", "ID"), ("id", "n", "day", "note")}
+
+
+def test_csv_types_are_the_narrowest_that_fit(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("i,l,f,b,d,t,s,none\n1,1,1,true,2024-01-02,2024-01-02 03:04:05,x,\n2,9999999999,2.5,False,2024-1-3,2024-01-02T03:04:05Z,2024,\n")
+    (tmp_path / "b.csv").write_text("s,i\n7,\n")
+    got = csv_source.scan_csv_prefix(spark, str(tmp_path))
+    assert dict(got.dtypes) == {"i": "int", "l": "bigint", "f": "double", "b": "boolean", "d": "date", "t": "timestamp", "s": "string", "none": "string"}
+    assert got.count() == 3 and got.where("i is null and s = '7'").count() == 1
+
+
+def test_csv_files_with_one_header_need_no_join_and_many_meet_in_a_shuffle(spark, tmp_path, monkeypatch):
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "a.csv").write_text("a,b\n1,2\n")
+    one = csv_source.scan_csv_prefix(spark, str(tmp_path), "b int, a int")
+    assert rows_of(one, ["a", "b"]) == [(1, 2)] and "Join" not in one._jdf.queryExecution().executedPlan().toString()
+    (tmp_path / "one" / "b.csv").write_text("b,a\n4,3\n")
+    monkeypatch.setattr(csv_source, "BROADCAST_FILES", 1)
+    assert rows_of(csv_source.scan_csv_prefix(spark, str(tmp_path), "b int, a int"), ["a", "b"]) == [(1, 2), (3, 4)]
+
+
 def test_csv_prefix_without_files_is_empty(spark, tmp_path):
     got = csv_source.scan_csv_prefix(spark, str(tmp_path), "a int, b string")
     assert got.columns == ["a", "b"] and got.count() == 0
