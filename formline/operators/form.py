@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from formline.functions import scalars
 from formline.operators.blocks import BLOCK, max_group_rows, null_safe_join, with_blocks
 from formline.operators.ranks import ranks_by_stacking, ranks_by_window
+from formline.scratch import kept
 
 AS_OF = "as_of"
 # Averages of ratios are rounded here so that equal averages tie however they were summed.
@@ -115,12 +116,16 @@ def _trailing(spec: FormSpec, partition: Sequence[str], order: Sequence[Column],
     return out
 
 
-def trailing_rows(df: DataFrame, spec: FormSpec, counts: bool = False, limit: int | None = None) -> DataFrame:
+def trailing_rows(
+    df: DataFrame, spec: FormSpec, counts: bool = False, limit: int | None = None, derived: bool = False
+) -> DataFrame:
     """Every row with its averages over itself and the N-1 older rows of its entity and season.
 
     Groups above the size limit run block by block; each block also reads the last N-1 rows
-    that precede it (see ``_with_older_rows``), which are dropped from the output.
+    that precede it (see ``_with_older_rows``), which are dropped from the output. Group sizes are
+    measured first; input that is costly to compute (``derived``) is stored once for both passes.
     """
+    df = kept(df, "trailing") if derived else df
     order = [spec.date, spec.id, *spec.measures]
     blocks, cut = with_blocks(df, spec.keys, order, limit)
     if not cut:

@@ -53,21 +53,21 @@ def join_form(games: DataFrame, form: DataFrame, side: str, prefix: str, spec: F
 def team_form_for(
     games: DataFrame, batting: DataFrame, spec: FormSpec = TEAM_FORM, league: int | None = None, days: int | None = None
 ) -> DataFrame:
-    """Form with ranks of all teams on all game dates."""
+    """Form with ranks of all teams on all game dates; of ``games`` only season and date are read."""
     return ranked_form(batting, as_of_dates(games, spec), spec, league=league, days=days)
 
 
 def pitcher_form_for(
     games: DataFrame, pitching: DataFrame, spec: FormSpec = PITCHER_FORM, ranks: bool = True, ties: str = "one",
-    days: int | None = None, pitchers: int | None = None,
+    days: int | None = None, pitchers: int | None = None, dates: DataFrame | None = None,
 ) -> DataFrame:
     """Form of the probable pitchers on their game dates.
 
     Ranks need every pitcher on every date; without them only the pitchers asked for are looked up.
-    ``pitchers`` is an upper bound of the pitchers of a season, where known.
+    ``pitchers`` is an upper bound of the pitchers of a season, where known, ``dates`` as in ``assemble_matchup``.
     """
     if ranks:
-        found = ranked_form(pitching, as_of_dates(games, spec), spec, league=pitchers, days=days)
+        found = ranked_form(pitching, as_of_dates(games if dates is None else dates, spec), spec, league=pitchers, days=days)
     else:
         found = last_before(wanted_dates(games, spec), snapshots(pitching, spec), spec)
     if ties == "all":
@@ -88,15 +88,18 @@ def assemble_matchup(
     league: int | None = None,
     days: int | None = None,
     pitchers: int | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Games with columns ``home_*``, ``away_*``, ``home_sp_*`` and ``away_sp_*``, ranks included.
 
     Form is taken strictly before the game's date: the second game of a day does not see the first.
     ``league``, ``pitchers`` and ``days`` are upper bounds of teams and pitchers per season and of game dates, where known.
+    Where games are costly to compute, ``dates`` is a plainer table with at least their ``Season`` and ``OfficialDate``;
+    games are then computed once.
     """
-    teams = team_form_for(games, team_measures(batting), team_spec, league, days)
+    teams = team_form_for(games if dates is None else dates, team_measures(batting), team_spec, league, days)
     starters = pitcher_form_for(
-        games, pitcher_measures(pitching, completed_only), pitcher_spec, pitcher_ranks, pitcher_ties, days, pitchers
+        games, pitcher_measures(pitching, completed_only), pitcher_spec, pitcher_ranks, pitcher_ties, days, pitchers, dates
     )
     out = games
     for side in SIDES:

@@ -107,9 +107,12 @@ def merge_home_away_odds(
 
 
 def daily_game_number(events: DataFrame, limit: int | None = None) -> DataFrame:
-    """``gameNumber``: order of an event's start among its home team's events of the Eastern day."""
+    """``gameNumber``: order of an event's start among its home team's events of the Eastern day.
+
+    The events come out of nested documents; they are computed once and stored.
+    """
     dated = events.withColumn("officialDate", F.to_date("eastern_commence_time"))
-    return rank_within(dated, ["home_team", "officialDate"], "eastern_commence_time", "gameNumber", True, limit)
+    return rank_within(dated, ["home_team", "officialDate"], "eastern_commence_time", "gameNumber", True, limit, derived=True)
 
 
 def localize_odds(odds: DataFrame, zones: DataFrame) -> DataFrame:

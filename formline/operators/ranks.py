@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formline.operators.blocks import BLOCK, max_group_rows, null_safe_join, oversized_groups, with_blocks
+from formline.scratch import kept
 
 
 def _ordering(value: str, ascending: bool) -> Column:
@@ -16,14 +17,19 @@ def _ordering(value: str, ascending: bool) -> Column:
 
 
 def rank_within(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, ascending: bool = False, limit: int | None = None
+    df: DataFrame, keys: Sequence[str], value: str, out: str, ascending: bool = False, limit: int | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """SQL ``rank()`` of ``value`` inside ``keys``, NULLs last.
 
     Ordinary groups use one window. Once a group exceeds the limit, ranks come from counts
     of distinct values instead (see ``rank_by_counts``), which no task holds whole.
+
+    The sizes of the groups are measured first. ``derived`` says that ``df`` is costly to compute: it is then stored
+    once, and the sizes are read from its key columns alone.
     """
     limit = limit or max_group_rows(df.sparkSession)
+    df = kept(df, "ranked") if derived else df
     if oversized_groups(df, keys, limit).isEmpty():
         return df.withColumn(out, F.rank().over(W.partitionBy(*keys).orderBy(_ordering(value, ascending))))
     return rank_by_counts(df, keys, value, out, ascending, limit)

@@ -149,7 +149,7 @@ def _bounds(spark, sf):
     f"SELECT team_name, season, officialdate, id, runs, batting_avg, strikeouts, walks, {TEAM_COLUMNS} FROM team_trailing",
 )
 def trailing_avg_team(spark, sf):
-    return form.trailing_rows(_teams(spark, sf), TEAM_FORM)
+    return form.trailing_rows(_teams(spark, sf), TEAM_FORM, derived=True)
 
 
 @form_query(
@@ -167,7 +167,7 @@ def trailing_avg_pitcher(spark, sf):
 )
 def games_back_rank(spark, sf):
     rows = _teams(spark, sf).select("team_name", "season", "officialdate", "id")
-    return ranks.rank_within(rows, ["team_name", "season"], "officialdate", "games_back")
+    return ranks.rank_within(rows, ["team_name", "season"], "officialdate", "games_back", derived=True)
 
 
 @form_query("batting_average", "SELECT id, batting_avg FROM team_measures")
@@ -287,7 +287,7 @@ def join_left_pitcher(spark, sf):
 def assemble_matchup(spark, sf):
     return matchup.assemble_matchup(
         star.games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf), **_bounds(spark, sf),
-        pitchers=star.table(spark, sf, "supplier").count(),
+        dates=star.game_dates(spark, sf), pitchers=star.table(spark, sf, "supplier").count(),
     )
 
 
@@ -295,7 +295,7 @@ def final_matchup(spark, sf):
     """What the model tables are made of: none of their features is a pitcher's rank."""
     return matchup.assemble_matchup(
         star.final_games(spark, sf), star.team_batting(spark, sf), star.individual_pitching(spark, sf),
-        pitcher_ranks=False, **_bounds(spark, sf),
+        pitcher_ranks=False, dates=star.game_dates(spark, sf), **_bounds(spark, sf),
     )
 
 

@@ -11,9 +11,9 @@ from formline.operators.odds import BOOKMAKERS, EVENT_KEYS
 from formline.plans import jobs, star
 from formline.plans.catalog.registry import query
 from formline.schemas import BATTING_STATS, GAME_DOCUMENT, TABLES
-from formline.scratch import new_folder
+from formline.scratch import kept, new_folder
 from formline.sources import documents, tables
-from formline.sources.csv import scan_csv_prefix
+from formline.sources.csv import CATEGORIES, scan_csv_prefix, scan_year_category_tree
 
 _AMOUNT = "CAST(floor(o_totalprice) AS BIGINT)"
 _MODULI = {
@@ -286,6 +286,51 @@ def format_odds(spark, sf):
     return _naive_times(jobs.format_odds(spark, path, zones=star.team_zones(spark, sf), order=ORDER))
 
 
+# What a row of every category has: its own name of each common column.
+_STAT_ROW = {"season": "season", "officialdate": "officialdate", "id": "id", "detailedstate": "detailedstate", "team_name": "team_name", "runs": "runs"}
+_GAME_ROW = {
+    "season": "Season", "officialdate": "OfficialDate", "id": "GameID", "detailedstate": "DetailedState", "team_name": "HomeTeamName",
+    "runs": "HomeRuns", "player_name": "HomeProbPitcherFullName",
+}
+_TREE_SQL = {
+    "team_batting": _team_sql(["runs"]),
+    "team_pitching": _team_sql(["runs"]),
+    "individual_batting": _player_sql(["runs"], False),
+    "individual_pitching": _player_sql(["runs"], True),
+    "games_history": "SELECT * FROM document_games",
+}
+
+
+def _tree_row(table: str) -> dict[str, str]:
+    named = _STAT_ROW if table != "games_history" else _GAME_ROW
+    return {**named, "player_name": "player_name"} if table.startswith("individual") else named
+
+
+def _tree_sql(category: str, table: str) -> str:
+    named = {"player_name": "CAST(NULL AS VARCHAR)", **_tree_row(table)}
+    return f"SELECT '{category}' AS category, " + ", ".join(f"{v} AS {k}" for k, v in named.items()) + f" FROM ({_TREE_SQL[table]})"
+
+
+@query("scan_year_category_tree", " UNION ALL ".join(_tree_sql(c, t) for c, t in CATEGORIES.items()), DOCUMENT_CTES)
+def year_category_tree(spark, sf):
+    """All five categories of a tree with a folder per season, written from the flattened documents."""
+    path, docs = new_folder(spark, "scan-tree"), star.game_documents(spark, sf)
+    seasons = [r.season for r in docs.select(F.col("gamedata.game.season").alias("season")).distinct().collect()]
+    for category, table in CATEGORIES.items():
+        level, kind = table.split("_")
+        if table == "games_history":
+            rows = flatten.flatten_games(docs)
+        else:
+            rows = (flatten.flatten_team_stats if level == "team" else flatten.flatten_player_stats)(docs, kind)
+        rows = kept(rows, category)
+        for season in seasons:
+            rows.where(F.col("season") == season).write.option("header", True).csv(f"{path}/{season}/{category}")
+    found = scan_year_category_tree(spark, path)
+    return union_by_name([
+        found[c].select(F.lit(c).alias("category"), *[F.col(v).alias(k) for k, v in _tree_row(t).items()]) for c, t in CATEGORIES.items()
+    ])
+
+
 # --- the ingest and snapshot jobs ----------------------------------------------------------
 
 _PERIOD = ("1996-01-01", "1998-12-31")

@@ -220,23 +220,6 @@ def scan_csv_prefix(spark, sf):
     return csv_source.scan_csv_prefix(spark, path, ORDERS)
 
 
-@query(
-    "scan_year_category_tree",
-    "SELECT team_name, season, officialdate, CAST(id AS VARCHAR) AS id, runs, hits, atbats, strikeouts, baseonballs, "
-    "intentionalwalks, detailedstate FROM team_batting",
-)
-def scan_year_category_tree(spark, sf):
-    """A tree of one folder per season; other categories are empty."""
-    path = new_folder(spark, "scan-tree")
-    rows = star.team_batting(spark, sf)
-    rows.withColumn("_year", F.col("season")).write.partitionBy("_year").option("header", True).csv(f"{path}/rows")
-    for row in rows.select("season").distinct().toLocalIterator():
-        part = csv_source.scan_csv(spark, f"{path}/rows/_year={row.season}", rows.schema)
-        _write_csv(part, f"{path}/tree/{row.season}/team_batting")
-    combined = csv_source.scan_year_category_tree(spark, f"{path}/tree")["team_batting"]
-    return combined.select(*rows.columns)
-
-
 @query("sink_parquet", _ORDERS_SQL + " ")
 def sink_parquet(spark, sf):
     """Written twice by partition: the second run replaces the first."""

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from formline.operators.odds import BOOKMAKERS
 from formline.schemas import ODDS_EVENT
-from formline.sources.tables import scan_parquet
+from formline.scratch import new_folder
+from formline.sources.tables import scan_parquet, sink_warehouse_table
 
 ZONES = ["America/New_York", "America/Chicago", "America/Phoenix", "America/Denver", "America/Los_Angeles"]
 VALIDATION_SEASON, TEST_SEASON = 1999, 2000
@@ -44,8 +45,29 @@ def game_days(spark: SparkSession, sf_dir: str) -> int:
     return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate")).distinct().count()
 
 
+def game_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season and date of all orders, among them those of all games."""
+    return table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("Season"), F.to_date("o_orderdate").alias("OfficialDate")
+    )
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with its lines counted; combined map-side."""
+    """One row per order with its lines counted.
+
+    Games and batting both need it, so it is computed once per application and stored in buckets of the
+    order's key: what joins it reads it without a scan of all lines, a grouping or an exchange.
+    """
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/order_lines")
+    if key not in _SCANS:
+        folder = new_folder(spark, "order_lines")
+        name = folder.rsplit("/", 1)[1].replace("-", "_")
+        sink_warehouse_table(_counted_lines(spark, sf_dir), "default", name, bucket_by=["l_orderkey"], path=folder)
+        _SCANS[key] = spark.table(f"default.{name}")
+    return _SCANS[key]
+
+
+def _counted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).cast("int").alias("n_lines"),

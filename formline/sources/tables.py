@@ -62,11 +62,23 @@ def sink_csv_period(df: DataFrame, folder: str, table: str, begin: str, end: str
     return path
 
 
-def sink_warehouse_table(df: DataFrame, database: str, table: str, mode: str = "overwrite") -> str:
+def sink_warehouse_table(
+    df: DataFrame, database: str, table: str, mode: str = "overwrite", bucket_by: Sequence[str] = (), buckets: int | None = None,
+    path: str | None = None,
+) -> str:
+    """Save as a table of the catalog, below ``path`` where one is given; returns its name.
+
+    With ``bucket_by`` the rows lie in one sorted file per bucket (as many as a shuffle has partitions, unless told
+    otherwise), so joins and groupings on these columns read them without an exchange.
+    """
     spark = df.sparkSession
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
     name = f"{database}.{table}"
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = (df.repartition(buckets, *bucket_by) if bucket_by else df).write.mode(mode).format("parquet")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return name
 
 
