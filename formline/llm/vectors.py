@@ -81,19 +81,52 @@ def probe_codes(x: np.ndarray, tables: int, hashes: int, probes: int = PROBES) -
     return codes
 
 
+def _sketches(x: np.ndarray) -> list[bytes]:
+    """Per unit row its values in whole steps of one byte, behind the size of a step and the length of what rounding took."""
+    step = np.abs(x).max(1) / 127
+    whole = np.rint(x / step[:, None]).astype(np.int8)
+    rest = np.linalg.norm(x - whole * step[:, None], axis=1)
+    return [np.array(head).tobytes() + w.tobytes() for head, w in zip(np.stack([step, rest], 1), whole, strict=True)]
+
+
 def _coded(reps: DataFrame, rows: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, same in batch.groupby(batch["vector"].map(len)):
                 x = np.array(same["vector"].to_list(), np.float64)
+                # A power of two first: exact, and no square leaves the range of doubles.
+                x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 codes = probe_codes(x, *settings(x.shape[1], rows)).reshape(len(x), -1)
                 yield pd.DataFrame({
                     "node": same["node"].to_numpy(), "copies": same["copies"].to_numpy(), "width": x.shape[1],
-                    "unit": [u.tobytes() for u in x], "codes": list(codes),
+                    "unit": [u.tobytes() for u in x], "codes": list(codes), "sketch": _sketches(x),
                 })
 
-    return reps.mapInPandas(run, "node bigint, copies bigint, width int, unit binary, codes array<bigint>")
+    return reps.mapInPandas(run, "node bigint, copies bigint, width int, unit binary, codes array<bigint>, sketch binary")
+
+
+def _blocks_plausible(group: pd.DataFrame) -> pd.DataFrame:
+    """The entries that may link with one of the other side of their block, by sketches.
+
+    For unit vectors u, v and their rounded forms, off by lengths r and s, the product of the forms is off by
+    at most r + (1 + r) s. No link is lost.
+    """
+    good = np.zeros(len(group), bool)
+    node, home = group["node"].to_numpy(), group["home"].to_numpy()
+    for at in group.reset_index(drop=True).groupby(["width", "table", "code", "x", "y"], sort=False).indices.values():
+        sides = [at[~home[at]], at[home[at]]]
+        if not len(sides[0]) or not len(sides[1]):
+            continue
+        raw = [b"".join(group["sketch"].iloc[s]) for s in sides]
+        raw = [np.frombuffer(r, np.int8).reshape(len(s), -1) for r, s in zip(raw, sides, strict=True)]
+        (a, r), (b, s) = [np.ascontiguousarray(w[:, :16]).view(np.float64).T for w in raw]
+        x, y = [w[:, 16:] * step[:, None] for w, step in zip(raw, (a, b), strict=True)]
+        near = x @ y.T + r[:, None] + (1 + r[:, None]) * s + 1e-6 >= COSINE
+        near &= node[sides[0]][:, None] != node[sides[1]]
+        good[sides[0]] |= near.any(1)
+        good[sides[1]] |= near.any(0)
+    return group.loc[good, ["width", "table", "code", "node", "home", "x", "y"]]
 
 
 def _block_links(rows: dict[str, np.ndarray], at: np.ndarray, counts: dict[int, int]) -> Iterator[tuple[int, int]]:
@@ -150,8 +183,8 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str =
     """``(vec_id, n_links, component_id, kept)``, one row per input row, whatever the labels.
 
     Equal vectors are one node that counts its copies. Every vector resides in one bucket per table and looks into the ``PROBES``
-    nearest. Residents and lookers of a bucket meet in blocks of bounded size; of the links only
-    counts and a spanning part leave the task.
+    nearest. Residents and lookers of a bucket meet in blocks of bounded size, first as sketches of a byte per value: vectors
+    are sent only to the blocks where they may link. Of the links only counts and a spanning part leave the task.
 
     Vectors that are NULL, empty, zero or hold NULL or non-finite components link with nothing, and so do rows with a NULL id
     (their component is NULL and they are kept). Vectors of different lengths never link. Repeated rows are linked copies.
@@ -180,7 +213,12 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str =
     living = met.where("first").select(*key, "node", F.lit(True).alias("home"), part(F.col("homes")).alias("y"), across(F.col("lookers")).alias("x"))
     tasks = stored(looking.unionByName(living), "blocks")
     width = max(1, -(-tasks.count() // ROWS_PER_CALL))
-    tasks = tasks.withColumn("call", F.pmod(F.xxhash64(*key, "x", "y"), F.lit(width))).join(coded.drop("width"), "node")
+    called = lambda t, n: t.withColumn("call", F.pmod(F.xxhash64(*key, "x", "y"), F.lit(n)))
+    sketched = called(tasks, width).join(coded.select("node", "sketch"), "node")
+    shape = "width int, table int, code bigint, node bigint, home boolean, x int, y int"
+    likely = stored(sketched.groupBy("call").applyInPandas(_blocks_plausible, shape), "plausible")
+    width = max(1, -(-likely.count() // ROWS_PER_CALL))
+    tasks = called(likely, width).join(coded.select("node", "copies", "unit", "codes"), "node")
     found = stored(tasks.groupBy("call").applyInPandas(_blocks_links, "a bigint, b bigint, n bigint"), "links")
 
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))

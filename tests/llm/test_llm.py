@@ -9,6 +9,7 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,6 +232,32 @@ def test_vectors_of_several_widths_link_within_their_width(spark):
     assert {r.vec_id: r.n_links for r in vectors.near_duplicates(frame).collect()} == expected
 
 
+@pytest.mark.parametrize("width", [1, 2, 64, 1024])
+def test_sketches_lose_no_link(width):
+    """Entries of one block: all with a link across are kept, those far from one aren't, a vector is no partner of itself."""
+    draw, n = np.random.default_rng(6), 150
+    x = draw.normal(size=(n, width))
+    x[0] *= np.where(np.arange(width) == 0, 1.0, 1e-9)
+    y = x + draw.normal(size=(n, 1)) * 0.6 * draw.normal(size=(n, width))
+    both = np.concatenate([x, y]) / np.linalg.norm(np.concatenate([x, y]), axis=1, keepdims=True)
+    node, home = np.concatenate([np.arange(2 * n), np.arange(5)]), np.concatenate([np.zeros(n, bool), np.ones(n, bool), np.ones(5, bool)])
+    rows = pd.DataFrame({"width": width, "table": 0, "code": 1, "node": node, "home": home, "x": 0, "y": 0})
+    rows["sketch"] = vectors._sketches(np.concatenate([both, both[:5]]))
+    got = {(r.node, r.home) for r in vectors._blocks_plausible(rows).itertuples()}
+    every = np.concatenate([both, both[:5]])
+    product = every @ every.T
+    across = (home[:, None] != home) & (node[:, None] != node)
+    wanted = {(node[i], home[i]) for i in np.flatnonzero((across & (product >= 0.9)).any(1))}
+    possible = {(node[i], home[i]) for i in np.flatnonzero((across & (product >= 0.83)).any(1))}
+    assert wanted <= got <= possible
+
+
+def test_vectors_of_extreme_length_link(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [2.0, 4.0]), (4, [-1e300, 1e300])]
+    found = {r.vec_id: r for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [found[i].n_links for i in (1, 2, 3, 4)] == [2, 2, 2, 0] and found[3].component_id == 1
+
+
 # 4 packing
 
 
