@@ -41,7 +41,7 @@ def test_compressed_lines_come_in_small_files_and_all_of_them_are_read(spark, tm
 
 
 @needs_tables
-@pytest.mark.parametrize("name, label", [("bad_record_quarantine", "quarantine")])
+@pytest.mark.parametrize("name, label", [("bad_record_quarantine", "quarantine"), ("scan_game_json", "games-json")])
 def test_documents_land_in_a_fifth_of_their_text(spark, monkeypatch, name, label):
     made = landed(monkeypatch, nested)
     assert QUERIES[name](spark, SF).count() >= star.game_documents(spark, SF).count()
