@@ -1,15 +1,18 @@
 """What jobs leave on disk: compressed landing files, each small enough for one reader."""
 
+import gzip
 from pathlib import Path
 
 import pytest
+from conftest import rows_of
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from formline.plans import star
 from formline.plans.catalog import QUERIES, nested
 from formline.scratch import compressed, new_folder
-from formline.sources import documents
+from formline.sources import documents, tables
+from formline.sources.csv import scan_csv_prefix
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF).exists(), reason="needs the generated tables")
@@ -60,3 +63,25 @@ def test_a_parse_is_stored_without_sorting_documents(spark, monkeypatch, tmp_pat
     assert parsed.counts == {"read": 2, "rejected": 1}
     assert sorted(r.n for r in parsed.documents.collect()) == [1, 2]
     assert [r.record for r in parsed.rejects.collect()] == ['{"n": oops']
+
+
+def test_compressed_periods_are_read_beside_plain_ones(spark, tmp_path):
+    """Several small files per period, each with its header, whatever the order of its columns."""
+    rows = spark.range(0, 300, 1, 1).select(F.col("id").cast("int").alias("a"), F.concat(F.lit("x,"), "id").alias("b"))
+    tables.sink_csv_period(rows, str(tmp_path), "t", "2024-01-01", compression="gzip")
+    tables.sink_csv_period(rows.select("b", "a"), str(tmp_path), "t", "2024-01-02")
+    assert {p.suffix for p in (tmp_path / "t").rglob("part-*")} == {".csv", ".gz"}
+    assert rows_of(scan_csv_prefix(spark, str(tmp_path / "t"), "a int, b string")) == rows_of(rows.unionAll(rows))
+    with pytest.raises(ValueError, match="compression"):
+        tables.sink_csv_period(rows, str(tmp_path), "t", "2024-01-03", compression="rar")
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["snapshot_tables"])
+def test_flattened_tables_are_a_fraction_of_their_text(spark, monkeypatch, name):
+    made = landed(monkeypatch, nested)
+    assert QUERIES[name](spark, SF).count() > 0
+    files = list(Path(made["flat"]).rglob("*.csv*"))
+    shown = [p for p in files if not p.name.startswith(".")]
+    assert shown and all(p.name.endswith(".csv.gz") for p in shown)
+    assert sum(p.stat().st_size for p in shown) < sum(len(gzip.decompress(p.read_bytes())) for p in shown) / 4
