@@ -77,7 +77,7 @@ def test_compressed_periods_are_read_beside_plain_ones(spark, tmp_path):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", ["flatten", "snapshot_tables"])
+@pytest.mark.parametrize("name", ["flatten", "snapshot_tables", "snapshot"])
 def test_flattened_tables_are_a_fraction_of_their_text(spark, monkeypatch, name):
     made = landed(monkeypatch, nested)
     assert QUERIES[name](spark, SF).count() > 0
