@@ -55,3 +55,29 @@ def test_pitchers_that_no_game_asks_for_have_no_rows(spark, pitching, games):
     found = matchup.pitcher_form_for(games.limit(3), pitching, pitchers=25, days=3)
     wanted = matchup.wanted_dates(games.limit(3), SPEC)
     assert 0 < found.count() <= wanted.count()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_starters_join_while_the_rows_are_narrow(spark, pitching, games):
+    """The teams' form, which is wide, isn't carried through the joins of the starters; the columns keep their order."""
+    batting = spark.createDataFrame(
+        [("x", 2020, START, 1, 3, 1, 2, 1)],
+        "team_name string, season int, officialdate date, id int, runs int, hits int, atbats int, baseonballs int",
+    ).withColumns({"strikeouts": F.lit(4), "intentionalwalks": F.lit(0)})
+    played = games.withColumns({"HomeTeamName": F.lit("x"), "AwayTeamName": F.lit("y")})
+    starts = pitching.withColumn("detailedstate", F.lit("Final"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    out = matchup.assemble_matchup(played, batting, starts)
+    first = [out.columns.index(c) for c in ("home_team_name", "away_team_name", "home_sp_player_name", "away_sp_player_name")]
+    assert first == sorted(first) and out.columns[: len(played.columns)] == played.columns
+    logical = out._jdf.queryExecution().analyzed().toString()
+    assert logical.index("home_team_name") < logical.index("home_sp_player_name")
+    joins = [line for line in logical.splitlines() if "Join LeftOuter" in line]
+    assert [("sp_" in j) for j in joins[:4]] == [False, False, True, True]
+    few = matchup.assemble_matchup(played, batting, starts, league=1, days=90)
+    sent = [sum("BroadcastHashJoin" in x and "LeftOuter" in x for x in plan_of(df).splitlines()) for df in (out, few)]
+    assert sent == [0, 2] and rows_of(few) == rows_of(out)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
