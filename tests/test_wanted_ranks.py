@@ -48,6 +48,7 @@ def test_wanted_ranks_are_those_among_all_pitchers(spark, pitching, games):
     assert found.columns == whole.columns and found.count() > 80
     assert rows_of(found) == rows_of(expected)
     assert found.dtypes == whole.dtypes
+    assert rows_of(form.ranked_wanted(pitching, wanted, as_of, SPEC, derived=True)) == rows_of(expected)
 
 
 def test_pitchers_that_no_game_asks_for_have_no_rows(spark, pitching, games):
