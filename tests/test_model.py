@@ -101,6 +101,23 @@ def test_patience_stops_the_rounds_at_the_least_loss(rows, monkeypatch):
     assert kept == model.kept_rounds(losses, 3) < fits[-1] and losses[kept - 1] == min(losses[: kept + 3])
 
 
+def test_a_fit_has_as_many_tasks_as_its_rows_need(rows, monkeypatch):
+    """Each task puts out the statistics of all nodes at every level; few rows in many partitions are dealt to few tasks."""
+    seen, fit_stages = [], model.Pipeline.fit
+    monkeypatch.setattr(model.Pipeline, "fit", lambda self, data: seen.append(data.rdd.getNumPartitions()) or fit_stages(self, data))
+    dealt = rows.repartition(24, "GamePK")
+    fit(dealt)
+    both = dealt.where("dataset in ('train', 'validation')")
+    model.train_classifier(both, FEATURES, params=QUICK, held_out="dataset = 'validation'")
+    assert seen == [1, 1]
+    monkeypatch.setattr(model, "ROWS_PER_TASK", 100)
+    assert model.fit_tasks(dealt.limit(250)) == 3
+    # Eight cores; four fits at once have two each. Tasks hold bounded rows all the same.
+    assert (model.fit_tasks(dealt), model.fit_tasks(dealt, 4)) == (8, 2)
+    monkeypatch.setattr(model, "MOST_ROWS_PER_TASK", 120)
+    assert model.fit_tasks(dealt, 4) == 10
+
+
 def test_halving_drops_the_worst_and_finishes_the_best(rows, monkeypatch):
     monkeypatch.setattr(model, "FIRST_ROUNDS", 8)
     base = model.TreeParams(rounds=12, patience=3)
