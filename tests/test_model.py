@@ -130,6 +130,27 @@ def test_halving_drops_the_worst_and_finishes_the_best(rows, monkeypatch):
     assert search.best == search.trials[search.finished[0]][0]
 
 
+def test_the_search_goes_on_from_its_last_step(rows, monkeypatch):
+    """The draw left has its four rounds from the last step: no fit is made twice."""
+    monkeypatch.setattr(model, "FIRST_ROUNDS", 4)
+    fits, estimator = [], model._estimator
+    monkeypatch.setattr(model, "_estimator", lambda kind, params, label: fits.append((params.step, params.rounds)) or estimator(kind, params, label))
+    base = model.TreeParams(rounds=16, patience=2)
+    search = model.hyperparam_search(rows, FEATURES, datasets.LABEL, trials=2, base=base, first_rounds=4)
+    assert [n for _, n in fits].count(4) == 2 and len(set(fits)) == len(fits) and len(search.finished) == 1
+
+
+def test_a_fit_goes_on_where_one_of_its_own_would_stop(rows, monkeypatch):
+    monkeypatch.setattr(model, "FIRST_ROUNDS", 4)
+    params = model.TreeParams(depth=3, rounds=64, step=0.5, rows=0.7, patience=2)
+    both = rows.where("dataset in ('train', 'validation')")
+    first = model.fit_trees(both.where("dataset = 'train'"), FEATURES, datasets.LABEL, model.replace(params, rounds=4), "classifier")
+    one, two = (
+        model.fit_trees(both, FEATURES, datasets.LABEL, params, "classifier", "dataset = 'validation'", grown=g).stages[-1] for g in (first, None)
+    )
+    assert one.getNumTrees == two.getNumTrees and one.featureImportances == two.featureImportances
+
+
 def test_search_is_seeded_and_keeps_its_ranges(rows):
     draws = model.draw_params(50)
     assert draws == model.draw_params(50) and draws != model.draw_params(50, seed=1)
