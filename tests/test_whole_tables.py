@@ -1,5 +1,6 @@
 """Tables that are read, written and kept whole, on less disk."""
 
+import gzip
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,8 @@ from test_disk import landed, size
 from formline.operators.form import latest_rows
 from formline.plans import jobs, star
 from formline.plans.catalog import QUERIES, nested
+from formline.scratch import compressed
+from formline.sources import documents
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF).exists(), reason="needs the generated tables")
@@ -70,3 +73,23 @@ def test_games_with_one_row_in_the_newest_batch_are_not_shuffled(spark, tmp_path
     plain, sorted_ = (union.children().apply(i).toString() for i in range(2))
     assert "Join LeftAnti" in plain and "Window [" not in plain
     assert "Window [" in sorted_ and "Join LeftSemi" in sorted_
+
+
+@needs_tables
+def test_a_stored_parse_goes_once_its_tables_are_written(spark, monkeypatch):
+    """It lay beside the tables made of it until the end, and the snapshot's came on top."""
+    made, parsed = landed(monkeypatch, nested), landed(monkeypatch, documents)
+    assert QUERIES["snapshot"](spark, SF).count() > 0
+    assert size(made["landing"]) and size(made["flat"]) and parsed.keys() == {"games"}
+    assert not Path(parsed["games"]).exists()
+
+
+def test_landing_files_are_written_at_the_fastest_level(spark, tmp_path):
+    """Its size tells the level of a file."""
+    rows = spark.range(0, 20_000, 1, 1).select(F.concat_ws(",", *[F.format_string("%d", (F.col("id") * k) % 997) for k in range(1, 30)]).alias("value"))
+    compressed(rows).text(str(tmp_path / "lines"))
+    (file,) = (tmp_path / "lines").glob("*.gz")
+    text = gzip.decompress(file.read_bytes())
+    fast, usual = (len(gzip.compress(text, level)) for level in (1, 6))
+    assert abs(file.stat().st_size - fast) < abs(file.stat().st_size - usual)
+    assert spark.read.text(str(tmp_path / "lines")).count() == 20_000
